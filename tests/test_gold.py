@@ -1,0 +1,153 @@
+from datetime import timedelta
+
+from tests.conftest import NOON, values
+from tidemark.operators import hashtags, hours, marts, serving, users
+from tidemark.plans.medallion import silver_events, trending_mart
+
+
+def test_only_posts_count_and_empty_arrays_vanish(events):
+    silver = silver_events(
+        events(
+            {"hashtags": ["A", "B"], "likes": 1},
+            {"hashtags": ["A"], "likes": 2, "event_type": " POST "},
+            {"hashtags": ["A"], "event_type": "like"},
+            {"hashtags": None},
+            {"hashtags": []},
+        )
+    )
+    assert values(hashtags.top_hashtags(silver), "hashtag", "total_mentions", "avg_likes", "rank") == [
+        ("A", 2, 1.5, 1),
+        ("B", 1, 1.0, 2),
+    ]
+
+
+def test_trends_compare_the_type_as_received(events):
+    rows = events({}, {"event_type": " POST "})
+    assert values(hashtags.windowed_mentions(rows), "hashtag", "mention_count") == [("Spark", 1)]
+    assert values(hashtags.hashtag_totals(silver_events(rows)), "hashtag", "total_mentions") == [
+        ("Spark", 2)
+    ]
+
+
+def test_windows_start_inclusive_end_exclusive(events):
+    at = lambda *minute_second: NOON.replace(minute=minute_second[0], second=minute_second[1])
+    rows = events({"timestamp": at(0, 0)}, {"timestamp": at(4, 59)}, {"timestamp": at(5, 0)})
+    found = hashtags.windowed_mentions(rows).selectExpr(
+        "date_format(window_start, 'HH:mm')", "date_format(window_end, 'HH:mm')", "mention_count"
+    )
+    assert values(found) == [("12:00", "12:05", 2), ("12:05", "12:10", 1)]
+
+
+def test_rank_ties_at_the_cut_stay(events):
+    # Nine tags with 10..2 mentions, then three with one each.
+    rows = [{"hashtags": [f"T{t}"]} for t in range(9) for _ in range(10 - t)]
+    rows += [{"hashtags": [f"Z{t}"]} for t in range(3)]
+    mart = trending_mart(silver_events(events(*rows)))
+    assert sorted(r["rank"] for r in mart.collect()) == [*range(1, 10), 10, 10, 10]
+
+
+def test_user_measures(events):
+    minute = lambda m: NOON + timedelta(minutes=m)
+    silver = silver_events(
+        events(
+            {"event_type": "like", "timestamp": minute(2), "location": "Bonn", "device": "desktop"},
+            {"event_type": "post", "timestamp": minute(1), "location": None, "device": None},
+            {"event_type": "share", "timestamp": minute(3), "device": " Desktop "},
+            {"event_type": "repost", "timestamp": minute(4), "device": "tablet"},
+            {"event_type": "post", "username": "bob", "likes": 6000, "shares": 2000, "comments": 0},
+        )
+    )
+    table = users.user_engagement(silver)
+    assert values(
+        table,
+        "username", "total_events", "total_posts", "total_likes", "total_shares",
+        "total_comments", "total_engagement_score", "avg_engagement_score", "viral_posts",
+        "devices_used", "primary_location", "user_rank",
+    ) == [
+        ("ann", 4, 1, 1, 1, 0, 21.0, 5.3, 0, 2, None, 2),
+        ("bob", 1, 1, 0, 0, 0, 10000.0, 10000.0, 1, 1, "Oslo", 1),
+    ]
+
+
+def test_location_of_one_instant_is_settled(events):
+    places = ["Rome", "Bonn"]
+    for order in (places, places[::-1]):
+        silver = silver_events(events(*[{"location": p} for p in order]))
+        assert values(users.primary_location(silver), "primary_location") == [("Bonn",)]
+
+
+def test_hours_pool_all_days(events):
+    silver = silver_events(
+        events({}, {"timestamp": NOON + timedelta(days=3)}, {"event_type": "like"})
+    )
+    trends = hours.hourly_trends(silver)
+    assert values(trends, "hour_of_day", "event_type", "event_count") == [
+        (12, "like", 1),
+        (12, "post", 2),
+    ]
+    assert values(hours.hourly_totals(trends)) == [(12, 3)]
+    assert values(hours.hourly_by_type(trends)) == [(12, 2, 1, None, None, None)]
+    assert [tuple(r) for r in hours.type_summary(silver).collect()] == [("post", 2), ("like", 1)]
+
+
+def _mart(spark):
+    return spark.createDataFrame(
+        [(1, "A", 50, "HOT"), (2, "C", 40, "NORMAL"), (2, "B", 40, "HOT"), (4, "D", 5, "ACTIVE")],
+        "rank int, hashtag string, total_mentions bigint, engagement_tier string",
+    )
+
+
+def test_topic_filters(spark):
+    mart = _mart(spark)
+    names = lambda df: [r["hashtag"] for r in df.collect()]
+    every = ["HOT", "TRENDING", "ACTIVE", "NORMAL"]
+    assert names(serving.trending_filtered(mart, every, rows=18)) == ["A", "B", "C", "D"]
+    # The filter comes before the limit.
+    assert names(serving.trending_filtered(mart, ["HOT"], rows=2)) == ["A", "B"]
+    assert names(serving.trending_filtered(mart, every, min_mentions=51)) == []
+    assert names(serving.trending_filtered(mart, [], rows=3)) == []
+    counts = serving.tier_counts(serving.trending_filtered(mart, every, rows=3))
+    assert [tuple(r) for r in counts.collect()] == [("HOT", 2), ("NORMAL", 1)]
+    assert values(serving.distinct_tiers(mart)) == [("ACTIVE",), ("HOT",), ("NORMAL",)]
+
+
+def _users(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "user_id string, username string, total_posts bigint, total_engagement_score double,"
+        "avg_engagement_score double, viral_posts bigint, devices_used bigint,"
+        "primary_location string, user_rank int",
+    )
+
+
+def test_leaderboard_filters(spark):
+    table = _users(
+        spark,
+        [
+            ("u2", "b", 1, 90.0, 90.0, 0, 1, "Rome", 1),
+            ("u1", "a", 1, 90.0, 90.0, 0, 1, None, 1),
+            ("u3", "c", 2, 10.9, 5.5, 1, 2, "Bonn", 3),
+        ],
+    )
+    names = lambda df: [r["username"] for r in df.collect()]
+    assert names(serving.leaderboard_filtered(table)) == ["a", "b", "c"]
+    assert names(serving.leaderboard_filtered(table, locations=["Bonn"])) == ["c"]
+    assert names(serving.leaderboard_filtered(table, min_score=11)) == ["a", "b"]
+    assert names(serving.leaderboard_filtered(table, rows=1)) == ["a"]
+    assert values(serving.distinct_locations(table)) == [("Bonn",), ("Rome",)]
+    assert values(serving.filter_bounds(_mart(spark), table)) == [(50, 90)]
+    assert values(serving.kpi_summary(table)) == [(3, 4, 1, 61.8)]
+    assert serving.leaderboard(table).columns[0] == "Rank"
+
+
+def test_empty_tables(spark):
+    table = _users(spark, [])
+    assert values(serving.kpi_summary(table)) == [(0, None, None, None)]
+    assert values(serving.filter_bounds(_mart(spark).limit(0), table)) == [(None, None)]
+
+
+def test_staging_columns(events):
+    silver = silver_events(events({}))
+    assert hashtags.top_hashtags(silver).columns == list(marts.HASHTAG_COLUMNS)
+    assert users.user_engagement(silver).columns == list(marts.USER_COLUMNS)
+    assert trending_mart(silver).columns == list(marts.MART_COLUMNS)
