@@ -15,6 +15,7 @@ from tidemark.operators.latest import keep_latest, keep_latest_of_few_copies
 from tidemark.operators.ranking import global_rank
 from tidemark.plans import medallion
 from tidemark.plans.batch import run_batch as run_medallion
+from tidemark.plans.layout import Lake
 from tidemark.rules import DEFAULT_RULES
 from tidemark.session import pin_utc
 from tidemark.sources.messages import parse_events
@@ -170,17 +171,12 @@ def trending_hashtags(spark, sf_dir):
 @query
 def run_streams(spark, sf_dir):
     """Both queries on one message stream; rows in their two tables."""
-    folder = scratch_path(spark, "streams")
-    runner.run_ingest(fixture.message_stream(spark, sf_dir), folder, bounded=True)
-    stored = read_table(spark, f"{folder}/bronze", schema=schemas.BRONZE)
-    closed = read_table(spark, f"{folder}/trends", schema=schemas.TRENDS)
-    return (
-        stored.agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("table", F.lit("bronze"))
-        .unionByName(
-            closed.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit("trends"))
-        )
-    )
+    lake = Lake(scratch_path(spark, "streams"))
+    runner.run_ingest(fixture.message_stream(spark, sf_dir), lake, bounded=True)
+    rows = F.count(F.lit(1)).alias("rows")
+    stored = lake.bronze(spark).agg(rows).withColumn("table", F.lit("bronze"))
+    closed = lake.trends(spark).agg(rows).withColumn("table", F.lit("trends"))
+    return stored.unionByName(closed)
 
 
 @query
@@ -625,12 +621,18 @@ def silver_roundtrip(spark, sf_dir):
     return _comparable_silver(read_table(spark, path, schema=schemas.SILVER))
 
 
+def _lake(spark, sf_dir, name):
+    """A lake whose bronze is the derived table, and the rows of that."""
+    lake = Lake(scratch_path(spark, name))
+    rows = overwrite_table(bronze(spark, sf_dir), lake.bronze_path, ["event_type"])
+    return lake, rows
+
+
 @query
 def row_counts(spark, sf_dir):
     """Rows per table as observed while a batch run wrote them."""
-    base = scratch_path(spark, "counts")
-    bronze_rows = overwrite_table(bronze(spark, sf_dir), f"{base}/bronze", ["event_type"])
-    report = run_medallion(spark, f"{base}/bronze", base)
+    lake, bronze_rows = _lake(spark, sf_dir, "counts")
+    report = run_medallion(spark, lake)
     report.rows["bronze"] = bronze_rows
     return report.row_counts(spark)
 
@@ -638,7 +640,6 @@ def row_counts(spark, sf_dir):
 @query
 def run_batch(spark, sf_dir):
     """The mart of a whole run, read through its published name."""
-    base = scratch_path(spark, "batch")
-    overwrite_table(bronze(spark, sf_dir), f"{base}/bronze", ["event_type"])
-    run_medallion(spark, f"{base}/bronze", base)
+    lake, _ = _lake(spark, sf_dir, "batch")
+    run_medallion(spark, lake)
     return untimed(spark.table("mart_trending_topics"))

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,56 +7,71 @@ from checks import fixture
 from tests.conftest import NOON, values
 from tidemark import schemas
 from tidemark.operators import hours
-from tidemark.plans.batch import QualityError, run_batch
-from tidemark.sources.tables import overwrite_table, read_table
+from tidemark.plans import batch, publish
+from tidemark.plans.layout import Lake
+from tidemark.sources import scratch
+from tidemark.sources.tables import overwrite_table
 
-TABLES = ("top_hashtags", "user_engagement", "hourly_trends")
+TABLES = tuple(schemas.GOLD)
 
 
 @pytest.fixture
-def bronze_path(spark, tmp_path):
-    path = str(tmp_path / "bronze")
-    overwrite_table(fixture.bronze(spark, "/root/testdata/sf0.001"), path, ["event_type"])
-    return path
-
+def lake(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    bronze = fixture.bronze(spark, "/root/testdata/sf0.001")
+    overwrite_table(bronze, lake.bronze_path, ["event_type"])
+    return lake
 
-def test_running_twice_gives_the_same_tables(spark, bronze_path, tmp_path):
-    base, sent = str(tmp_path / "run"), []
 
-    def send(name, df):
-        sent.append((name, df.count()))
-        return sent[-1][1]
-
-    first = run_batch(spark, bronze_path, base, as_of=NOON, send=send)
-    before = {t: values(read_table(spark, f"{base}/gold/{t}")) for t in TABLES}
+def test_running_twice_gives_the_same_tables(spark, lake):
+    contents = lambda: {t: values(lake.gold(spark, t)) for t in TABLES}
+    first = batch.run_batch(spark, lake, as_of=NOON, send=lambda name, df: df.count())
+    before = contents()
     # The other way to remove copies, as a large table would take it.
-    second = run_batch(spark, bronze_path, base, as_of=NOON, few_copies_bytes=0)
-    assert first == second
-    assert {t: values(read_table(spark, f"{base}/gold/{t}")) for t in TABLES} == before
+    second = batch.run_batch(spark, lake, as_of=NOON, few_copies_bytes=0)
+    assert contents() == before
+    assert (first.rows, first.checks) == (second.rows, second.checks)
     assert first.rows["silver"] == 953
-    assert sorted(sent) == [
-        ("raw_hourly_trends", 120), ("raw_top_hashtags", 18), ("raw_user_engagement", 30),
-    ]
+    assert first.sent == {
+        "raw_top_hashtags": 18, "raw_user_engagement": 30, "raw_hourly_trends": 120,
+        "mart_trending_topics": first.rows["mart_trending_topics"],
+    }
     assert len(first.checks) == 9
 
-    trends = read_table(spark, f"{base}/gold/hourly_trends")
+    trends = lake.gold(spark, "hourly_trends")
     assert hours.hourly_totals(trends).agg(F.sum("total_events")).first()[0] == 953
     names = {t.name for t in spark.catalog.listTables()}
     assert {"raw_top_hashtags", "stg_user_engagement", "mart_trending_topics"} <= names
 
 
+def test_a_run_leaves_no_scratch_tables(spark, lake):
+    folder = Path(scratch.scratch_folder(spark))
+    before = set(folder.iterdir())
+    batch.run_batch(spark, lake, few_copies_bytes=0)
+    assert set(folder.iterdir()) == before
+
+
+def test_steps_run_alone(spark, lake):
+    batch.build_silver(spark, lake)
+    batch.build_gold(spark, lake)
+    batch.build_mart(spark, lake)
+    publish.withdraw(spark)
+    assert len(batch.run_checks(spark, lake)) == 9
+    assert spark.table("mart_trending_topics").count() >= 10
+
+
 def test_failed_checks_stop_the_run(spark, events, tmp_path):
     # Valid silver rows, but a user without a name.
-    path = str(tmp_path / "bronze")
-    overwrite_table(events({"username": None}), path, ["event_type"])
-    with pytest.raises(QualityError, match="stg_user_engagement.username not_null") as raised:
-        run_batch(spark, path, str(tmp_path / "run"))
+    lake, sent = Lake(str(tmp_path / "lake")), []
+    overwrite_table(events({"username": None}), lake.bronze_path, ["event_type"])
+    with pytest.raises(batch.QualityError, match="stg_user_engagement.username not_null") as raised:
+        batch.run_batch(spark, lake, send=lambda name, df: sent.append(name))
     assert [r["failures"] for r in raised.value.failed] == [1]
+    assert sent == []
 
 
-def test_silver_is_partitioned_by_clean_type(spark, bronze_path, tmp_path):
-    base = str(tmp_path / "run")
-    run_batch(spark, bronze_path, base)
-    silver = read_table(spark, f"{base}/silver", schema=schemas.SILVER)
-    folders = {f.split("event_type=")[1].split("/")[0] for f in silver.inputFiles()}
+def test_silver_is_partitioned_by_clean_type(spark, lake):
+    batch.build_silver(spark, lake)
+    files = lake.silver(spark).inputFiles()
+    folders = {f.split("event_type=")[1].split("/")[0] for f in files}
     assert folders == {"post", "like", "share", "comment", "repost"}

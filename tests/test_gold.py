@@ -1,8 +1,9 @@
 from datetime import timedelta
 
 from tests.conftest import NOON, values
-from tidemark.operators import hashtags, hours, marts, serving, users
-from tidemark.plans.medallion import silver_events, trending_mart
+from tidemark import schemas
+from tidemark.operators import hashtags, hours, serving, users
+from tidemark.plans.medallion import gold_tables, silver_events, trending_mart
 
 
 def test_only_posts_count_and_empty_arrays_vanish(events):
@@ -146,8 +147,9 @@ def test_empty_tables(spark):
     assert values(serving.filter_bounds(_mart(spark).limit(0), table)) == [(None, None)]
 
 
-def test_staging_columns(events):
+def test_declared_schemas(events):
     silver = silver_events(events({}))
-    assert hashtags.top_hashtags(silver).columns == list(marts.HASHTAG_COLUMNS)
-    assert users.user_engagement(silver).columns == list(marts.USER_COLUMNS)
-    assert trending_mart(silver).columns == list(marts.MART_COLUMNS)
+    for name, table in gold_tables(silver).items():
+        assert table.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.GOLD[name]]
+    mart = trending_mart(silver)
+    assert mart.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.MART]

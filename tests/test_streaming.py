@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import NOON, values
 from tidemark import schemas
+from tidemark.plans.batch import run_batch
+from tidemark.plans.layout import Lake
 from tidemark.sources.messages import decode, parse_events, with_instants
 from tidemark.sources.tables import read_table
 from tidemark.streaming import ingest, runner, trends
@@ -143,15 +145,19 @@ def test_restart_neither_loses_nor_repeats(spark, topic, tmp_path):
 
 def test_both_streams_together(spark, topic, tmp_path):
     topic.send(post(0), post(1, hashtags=["A", "B"]), post(30))
-    base = str(tmp_path / "base")
-    queries = runner.run_ingest(topic.stream(), base, bounded=True)
+    lake = Lake(str(tmp_path / "lake"))
+    queries = runner.run_ingest(topic.stream(), lake, bounded=True)
     assert [q.name for q in queries] == ["bronze", "trends"]
-    assert read_table(spark, f"{base}/bronze", schema=schemas.BRONZE).count() == 3
-    closed = read_table(spark, f"{base}/trends", schema=schemas.TRENDS)
+    assert lake.bronze(spark).count() == 3
+    closed = lake.trends(spark)
     assert values(closed, "hashtag", "mention_count", "avg_likes", "avg_shares") == [
         ("A", 2, 1.0, 2.0),
         ("B", 1, 1.0, 2.0),
     ]
+    # Messages without a user do not reach silver; the batch run takes it from here.
+    topic.send(post(31, user_id="u", username="ann", device="tablet", comments=0))
+    runner.run_ingest(topic.stream(), lake, bounded=True)
+    assert run_batch(spark, lake).rows["silver"] == 1
 
 
 def test_first_failure_ends_all(spark, topic, tmp_path):

@@ -5,31 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import engagement
 from tidemark.rules import DEFAULT_RULES, EngagementRules
 
-# Column order of the published tables; results depend on these names.
-HASHTAG_COLUMNS = (
-    "hashtag", "total_mentions", "avg_likes", "avg_shares", "avg_comments",
-    "avg_engagement", "viral_count", "rank", "processed_at",
-)
-USER_COLUMNS = (
-    "user_id", "username", "total_events", "total_posts", "total_likes", "total_shares",
-    "total_comments", "total_engagement_score", "avg_engagement_score", "viral_posts",
-    "devices_used", "primary_location", "user_rank", "processed_at",
-)
-MART_COLUMNS = (
-    "rank", "hashtag", "total_mentions", "avg_engagement", "viral_count", "avg_likes",
-    "avg_shares", "engagement_tier", "viral_rate_pct", "processed_at",
-)
-
-
 def stg_top_hashtags(hashtags: DataFrame) -> DataFrame:
-    return hashtags.select(*HASHTAG_COLUMNS)
+    return hashtags.select(*schemas.GOLD["top_hashtags"].names)
 
 
 def stg_user_engagement(users: DataFrame) -> DataFrame:
-    return users.select(*USER_COLUMNS)
+    return users.select(*schemas.GOLD["user_engagement"].names)
 
 
 def rank_cutoff(ranked: DataFrame, by: str, limit: int) -> DataFrame:
@@ -50,4 +35,4 @@ def mart_trending_topics(
             ),
         }
     )
-    return rated.select(*MART_COLUMNS)
+    return rated.select(*schemas.MART.names)

@@ -1,4 +1,8 @@
-"""The batch run: silver, gold, publish, mart, checks; stops at the first failure."""
+"""The steps of the batch run: silver, gold, mart, checks, sending.
+
+Each step reads what the one before has written, so it can run in a process of
+its own and be repeated alone.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +14,20 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidemark import schemas
 from tidemark.operators import marts, quality
+from tidemark.plans.layout import Lake
 from tidemark.plans.medallion import gold_tables, silver_events
-from tidemark.plans.publish import publish_all
+from tidemark.plans.publish import publish_all, publish_gold, publish_mart
 from tidemark.rules import DEFAULT_RULES, EngagementRules
-from tidemark.session import pin_utc, size_shuffles
-from tidemark.sources.tables import overwrite_table, read_table, table_bytes
+from tidemark.session import pin_utc, sized_for
+from tidemark.sources.scratch import scratch_scope
+from tidemark.sources.tables import overwrite_table, table_bytes
 
-# Above this, reading the keys first is cheaper than shuffling every row.
+# From here on, reading the keys first is cheaper than shuffling every row.
 FEW_COPIES_BYTES = 1 << 40
 
+# Copies a table to another store and returns the rows sent.
+Send = Callable[[str, DataFrame], int]
+
 
 class QualityError(RuntimeError):
     """Some checks failed; `failed` holds their report rows."""
@@ -31,60 +40,97 @@ class QualityError(RuntimeError):
 
 @dataclass
 class BatchReport:
-    """Rows written per table, and one row per check."""
+    """Rows written per table, rows sent per name, and one row per check."""
 
     rows: dict[str, int] = field(default_factory=dict)
+    sent: dict[str, int] = field(default_factory=dict)
     checks: list[Row] = field(default_factory=list)
 
     def row_counts(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(sorted(self.rows.items()), "table string, rows bigint")
 
 
-def run_batch(
+def build_silver(
     spark: SparkSession,
-    bronze_path: str,
-    base: str,
+    lake: Lake,
     rules: EngagementRules = DEFAULT_RULES,
     as_of: datetime | None = None,
-    fmt: str = "parquet",
-    send: Callable[[str, DataFrame], int] | None = None,
     few_copies_bytes: int = FEW_COPIES_BYTES,
-) -> BatchReport:
-    """One full refresh from bronze; running it again gives the same tables.
-
-    Every step reads what the step before has written, so a restart or a lost
-    executor repeats little, and nothing the size of an event table is cached.
-    """
-    pin_utc(spark)
-    report = BatchReport()
+) -> dict[str, int]:
+    """All of bronze to silver, partitioned by type; rows written."""
+    stored = table_bytes(spark, lake.bronze_path, lake.fmt)
+    with sized_for(pin_utc(spark), stored), scratch_scope(spark):
+        few_copies = stored >= few_copies_bytes
+        silver = silver_events(lake.bronze(spark), rules, as_of, few_copies)
+        rows = overwrite_table(silver, lake.silver_path, ["event_type"], lake.fmt)
+    return {"silver": rows}
 
-    stored = table_bytes(spark, bronze_path, fmt)
-    size_shuffles(spark, stored)
-    bronze = read_table(spark, bronze_path, fmt, schemas.BRONZE)
-    silver = silver_events(bronze, rules, as_of, few_copies=stored > few_copies_bytes)
-    report.rows["silver"] = overwrite_table(silver, f"{base}/silver", ["event_type"], fmt)
-
-    silver = read_table(spark, f"{base}/silver", fmt, schemas.SILVER)
-    gold = {}
-    for name, table in gold_tables(silver, rules, as_of).items():
-        path = f"{base}/gold/{name}"
-        report.rows[name] = overwrite_table(table, path, fmt=fmt)
-        gold[name] = read_table(spark, path, fmt, table.schema)
-
-    publish_all(spark, gold, send)
 
+def build_gold(
+    spark: SparkSession,
+    lake: Lake,
+    rules: EngagementRules = DEFAULT_RULES,
+    as_of: datetime | None = None,
+) -> dict[str, int]:
+    """Silver to the three gold tables; rows written per table."""
+    stored = table_bytes(spark, lake.silver_path, lake.fmt)
+    with sized_for(pin_utc(spark), stored), scratch_scope(spark):
+        return {
+            name: overwrite_table(table, lake.gold_path(name), fmt=lake.fmt)
+            for name, table in gold_tables(lake.silver(spark), rules, as_of).items()
+        }
+
+
+def build_mart(
+    spark: SparkSession, lake: Lake, rules: EngagementRules = DEFAULT_RULES
+) -> dict[str, int]:
+    """Publish gold, then write and publish the mart over its staging view."""
+    publish_gold(pin_utc(spark), lake)
     mart = marts.mart_trending_topics(spark.table("stg_top_hashtags"), rules)
-    path = f"{base}/mart/trending_topics"
-    report.rows["mart_trending_topics"] = overwrite_table(mart, path, fmt=fmt)
-    mart = read_table(spark, path, fmt, mart.schema)
-    mart.createOrReplaceTempView("mart_trending_topics")
+    rows = overwrite_table(mart, lake.mart_path, fmt=lake.fmt)
+    publish_mart(spark, lake)
+    return {"mart_trending_topics": rows}
+
 
-    # Nine rows.
+def run_checks(
+    spark: SparkSession, lake: Lake, rules: EngagementRules = DEFAULT_RULES
+) -> list[Row]:
+    """The report, nine rows; raises if a check failed."""
+    publish_all(pin_utc(spark), lake)
     checks = quality.standard_checks(rules)
-    report.checks = quality.quality_report(
-        {name: spark.table(name) for name in dict.fromkeys(c.table for c in checks)}, checks
-    ).collect()
-    failed = [row for row in report.checks if not row["passed"]]
+    tables = {check.table: spark.table(check.table) for check in checks}
+    rows = quality.quality_report(tables, checks).collect()
+    failed = [row for row in rows if not row["passed"]]
     if failed:
         raise QualityError(failed)
+    return rows
+
+
+def send_tables(spark: SparkSession, lake: Lake, send: Send) -> dict[str, int]:
+    """Copy gold and mart to another store under their served names."""
+    publish_all(pin_utc(spark), lake)
+    names = [f"raw_{name}" for name in schemas.GOLD] + ["mart_trending_topics"]
+    return {name: send(name, spark.table(name)) for name in names}
+
+
+def run_batch(
+    spark: SparkSession,
+    lake: Lake,
+    rules: EngagementRules = DEFAULT_RULES,
+    as_of: datetime | None = None,
+    send: Send | None = None,
+    few_copies_bytes: int = FEW_COPIES_BYTES,
+) -> BatchReport:
+    """One full refresh from bronze; stops at the first failure.
+
+    Running it again gives the same tables. Nothing the size of an event table
+    is cached. Tables are sent once their checks have passed.
+    """
+    report = BatchReport()
+    report.rows.update(build_silver(spark, lake, rules, as_of, few_copies_bytes))
+    report.rows.update(build_gold(spark, lake, rules, as_of))
+    report.rows.update(build_mart(spark, lake, rules))
+    report.checks = run_checks(spark, lake, rules)
+    if send is not None:
+        report.sent = send_tables(spark, lake, send)
     return report

@@ -1,46 +1,48 @@
-"""Publishing gold under its serving names, and the views that depend on it."""
+"""The names under which tables are served, and the views that depend on them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
+from tidemark import schemas
 from tidemark.operators import marts
+from tidemark.plans.layout import Lake
 
 # Dependents first; the order in which names have to go.
-_VIEWS = (
+_NAMES = (
     "mart_trending_topics",
     "stg_top_hashtags",
     "stg_user_engagement",
-    "raw_top_hashtags",
-    "raw_user_engagement",
-    "raw_hourly_trends",
+    *(f"raw_{name}" for name in schemas.GOLD),
 )
 
 
-def publish_all(
-    spark: SparkSession,
-    gold: Mapping[str, DataFrame],
-    send: Callable[[str, DataFrame], int] | None = None,
-) -> dict[str, int]:
-    """Publish the gold tables as raw_* views, and their staging views.
+def withdraw(spark: SparkSession) -> None:
+    """Drop all served names, dependents first."""
+    for name in _NAMES:
+        spark.catalog.dropTempView(name)
+
 
-    Names are dropped in dependency order first, so a failure half-way leaves a
-    missing name and never a view over outdated rows. `send(name, df)` copies a
-    table to another store as well and returns its rows.
+def publish_gold(spark: SparkSession, lake: Lake) -> None:
+    """Serve the gold tables as raw_* and their staging views.
+
+    All names are withdrawn first: a failure half-way leaves a missing name and
+    never a view over outdated rows. No row is copied; the names read the tables.
     """
-    for view in _VIEWS:
-        spark.catalog.dropTempView(view)
-    sent = {}
-    for name, df in gold.items():
-        if send is not None:
-            sent[f"raw_{name}"] = send(f"raw_{name}", df)
-        df.createOrReplaceTempView(f"raw_{name}")
-    marts.stg_top_hashtags(spark.table("raw_top_hashtags")).createOrReplaceTempView(
-        "stg_top_hashtags"
-    )
-    marts.stg_user_engagement(spark.table("raw_user_engagement")).createOrReplaceTempView(
-        "stg_user_engagement"
-    )
-    return sent
+    withdraw(spark)
+    for name in schemas.GOLD:
+        lake.gold(spark, name).createOrReplaceTempView(f"raw_{name}")
+    hashtags = marts.stg_top_hashtags(spark.table("raw_top_hashtags"))
+    hashtags.createOrReplaceTempView("stg_top_hashtags")
+    users = marts.stg_user_engagement(spark.table("raw_user_engagement"))
+    users.createOrReplaceTempView("stg_user_engagement")
+
+
+def publish_mart(spark: SparkSession, lake: Lake) -> None:
+    lake.mart(spark).createOrReplaceTempView("mart_trending_topics")
+
+
+def publish_all(spark: SparkSession, lake: Lake) -> None:
+    """Serve everything a finished run has written."""
+    publish_gold(spark, lake)
+    publish_mart(spark, lake)

@@ -52,13 +52,46 @@ SILVER = T.StructType(
     ]
 )
 
-TRENDS = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("hashtag", T.StringType()),
-        T.StructField("mention_count", T.LongType()),
-        T.StructField("avg_likes", T.DoubleType()),
-        T.StructField("avg_shares", T.DoubleType()),
-    ]
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def declared(columns: str) -> T.StructType:
+    """A schema from `name type, ...`; unlike DDL parsing it needs no session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+GOLD = {
+    "top_hashtags": declared(
+        "hashtag string, total_mentions bigint, avg_likes double, avg_shares double,"
+        "avg_comments double, avg_engagement double, viral_count bigint, rank int,"
+        "processed_at timestamp"
+    ),
+    "user_engagement": declared(
+        "user_id string, username string, total_events bigint, total_posts bigint,"
+        "total_likes bigint, total_shares bigint, total_comments bigint,"
+        "total_engagement_score double, avg_engagement_score double, viral_posts bigint,"
+        "devices_used bigint, primary_location string, user_rank int, processed_at timestamp"
+    ),
+    "hourly_trends": declared(
+        "hour_of_day int, event_type string, event_count bigint, avg_engagement double,"
+        "avg_likes double, viral_count bigint, processed_at timestamp"
+    ),
+}
+
+MART = declared(
+    "rank int, hashtag string, total_mentions bigint, avg_engagement double,"
+    "viral_count bigint, avg_likes double, avg_shares double, engagement_tier string,"
+    "viral_rate_pct double, processed_at timestamp"
+)
+
+TRENDS = declared(
+    "window_start timestamp, window_end timestamp, hashtag string, mention_count bigint,"
+    "avg_likes double, avg_shares double"
 )

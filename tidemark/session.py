@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SPLIT_BYTES = 1024 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_READ_TASKS = 100_000
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,26 +45,46 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions_for(
-    input_bytes: int, slots: int, target_bytes: int = TARGET_PARTITION_BYTES
-) -> int:
-    """Enough partitions that one holds about `target_bytes`, and at least one per slot.
+def partition_plan(input_bytes: int, slots: int) -> tuple[int, int]:
+    """(shuffle partitions, bytes per read task) for a batch job over `input_bytes`.
 
     Stored columns about double in size as shuffled rows. Adaptive execution
-    merges what turns out too small; it cannot split a plain aggregation or
-    window, so the starting number has to be high enough.
+    merges partitions that turn out too small, but it cannot split those of an
+    aggregation or a window, so the starting number has to be high enough. It is
+    bounded, since the driver keeps a map of tasks by partitions: beyond the
+    bounds both sides grow and the sorts spill.
     """
-    return max(slots, math.ceil(2 * input_bytes / target_bytes))
+    wanted = math.ceil(2 * input_bytes / TARGET_PARTITION_BYTES)
+    partitions = max(slots, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    split = math.ceil(input_bytes / MAX_READ_TASKS)
+    return partitions, min(max(split, TARGET_PARTITION_BYTES), MAX_SPLIT_BYTES)
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Set the number of shuffle partitions for batch jobs over `input_bytes`.
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int):
+    """Partition settings for batch jobs over `input_bytes`, put back afterwards.
 
-    Never lowers a number that the cluster's own settings chose.
+    They never go below what the session had. Putting them back matters for
+    streams, whose state is bound to the number their first run finds.
     """
-    needed = shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chosen = max(current, needed)
-    if chosen != current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
-    return chosen
+    partitions, split = partition_plan(input_bytes, spark.sparkContext.defaultParallelism)
+    wanted = {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.files.maxPartitionBytes": split,
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, size in wanted.items():
+            if size > _number(before[key]):
+                spark.conf.set(key, str(size))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _number(text: str) -> int:
+    """A count or a size; sizes come as `134217728b`, `128m` or plain bytes."""
+    digits = text.rstrip("bBkKmMgGtT")
+    unit = text[len(digits) :].lower().rstrip("b")
+    return int(digits) * 1024 ** ["", "k", "m", "g", "t"].index(unit)

@@ -6,11 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own_folders: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -35,7 +38,25 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path that nobody else uses."""
-    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    opened = _scope.get()
+    if opened is not None:
+        opened.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete at the end what was put into scratch paths within; nothing read
+    from them may be used later."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            delete_path(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -56,11 +77,6 @@ def write_counted(df: DataFrame, write) -> int:
     return seen.get["rows"]
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove this application's intermediate tables; results read from them end too."""
-    delete_path(spark, scratch_folder(spark))
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     target, files = hadoop_path(spark, path)
     files.delete(target, True)

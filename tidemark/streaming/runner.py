@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.plans.layout import Lake
 from tidemark.rules import DEFAULT_RULES, EngagementRules
 from tidemark.schemas import TREND_MESSAGE
 from tidemark.sources.messages import decode, parse_events, with_instants
@@ -46,10 +47,9 @@ def run_streams(
 
 def run_ingest(
     messages: DataFrame,
-    base: str,
+    lake: Lake,
     rules: EngagementRules = DEFAULT_RULES,
     bounded: bool = False,
-    fmt: str = "parquet",
 ) -> list[StreamingQuery]:
     """Bronze and trend queries on one message stream, each with its checkpoint.
 
@@ -58,15 +58,13 @@ def run_ingest(
     """
     events = parse_events(messages)
     trends = trending_hashtags(with_instants(decode(messages, TREND_MESSAGE)), rules)
-    return run_streams(
-        messages.sparkSession,
-        [
-            lambda: write_bronze(
-                events, f"{base}/bronze", f"{base}/checkpoints/bronze", bounded, fmt
-            ),
-            lambda: write_trends(
-                trends, f"{base}/trends", f"{base}/checkpoints/trends", bounded, fmt
-            ),
-        ],
-        bounded,
-    )
+
+    def bronze_query() -> StreamingQuery:
+        checkpoint = lake.checkpoint("bronze")
+        return write_bronze(events, lake.bronze_path, checkpoint, bounded, lake.fmt)
+
+    def trend_query() -> StreamingQuery:
+        checkpoint = lake.checkpoint("trends")
+        return write_trends(trends, lake.trends_path, checkpoint, bounded, lake.fmt)
+
+    return run_streams(messages.sparkSession, [bronze_query, trend_query], bounded)
