@@ -66,7 +66,7 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     costs a re-read, not the work that made `df`.
     """
     path = scratch_path(df.sparkSession, name)
-    rows = write_counted(df, lambda counted: counted.write.parquet(path))
+    rows = write_counted(df, lambda counted: counted.write.parquet(path, compression="lz4"))
     return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
