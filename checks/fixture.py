@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schemas import BRONZE
+from tidemark.schemas import BRONZE, MESSAGE
 
 # Fixed values, shared with the SQL side.
 TAGS = (
@@ -19,6 +19,8 @@ TYPES = {
     "view": "post", "click": "like", "purchase": "share", "signup": "comment", "error": "repost",
 }
 
+BROKEN_LINE = '{"event_id": "e'
+
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -97,22 +99,27 @@ def _mapped(event_type: Column) -> Column:
     return F.coalesce(*pairs)
 
 
+def number(bronze_rows: DataFrame) -> Column:
+    """The given event's number; `content` has it in every row."""
+    return F.substring_index(bronze_rows["content"], " ", -1).cast("bigint")
+
+
 def messages(bronze_rows: DataFrame) -> DataFrame:
     """The rows as JSON text in `value`, with lines and times that do not parse.
 
     Every 53rd line is cut off, every 59th time is no time, and even ids have a
-    time without a fraction. Ids come from `content`, which is never NULL.
+    time without a fraction.
     """
-    num = F.substring_index("content", " ", -1).cast("bigint")
+    num = number(bronze_rows)
     text = (
         F.when(num % 59 == 0, "not a time")
         .when(num % 2 == 0, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
         .otherwise(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     )
-    fields = [text.alias(c) if c == "timestamp" else F.col(c) for c in bronze_rows.columns]
-    line = F.to_json(F.struct(*[f for f, c in zip(fields, bronze_rows.columns) if c != "ingested_at"]))
+    fields = [text.alias(c) if c == "timestamp" else F.col(c) for c in MESSAGE.names]
+    line = F.to_json(F.struct(*fields))
     return bronze_rows.select(
-        F.when(num % 53 == 0, F.lit('{"event_id": "e')).otherwise(line).alias("value")
+        F.when(num % 53 == 0, F.lit(BROKEN_LINE)).otherwise(line).alias("value")
     )
 
 

@@ -113,7 +113,7 @@ def read_event_stream(spark, sf_dir):
     raw = spark.read.schema("value string").parquet(f"{folder}/raw")
     return raw.agg(
         F.count("value").alias("messages"),
-        F.sum(F.length("value")).alias("characters"),
+        F.count_if(F.col("value") == fixture.BROKEN_LINE).alias("broken"),
     )
 
 
@@ -168,6 +168,28 @@ def trending_hashtags(spark, sf_dir):
     return _rounded_trends(read_table(spark, f"{folder}/t", schema=schemas.TRENDS))
 
 
+@query
+def late_data(spark, sf_dir):
+    """Trend windows when a seventeenth of the messages comes after all others.
+
+    Of those, only what belongs to windows still open is counted.
+    """
+    folder = scratch_path(spark, "stream-late")
+    rows = bronze(spark, sf_dir)
+    late = fixture.number(rows) % 17 == 0
+    for arriving in (rows.filter(~late), rows.filter(late)):
+        fixture.messages(arriving).write.mode("append").text(f"{folder}/topic")
+        messages = ingest.read_event_stream(spark, "text", path=f"{folder}/topic")
+        events = parse_events(messages, schemas.TREND_MESSAGE)
+        runner.finish(
+            trends.write_trends(
+                trends.trending_hashtags(events),
+                f"{folder}/t", f"{folder}/checkpoint", bounded=True,
+            )
+        )
+    return _rounded_trends(read_table(spark, f"{folder}/t", schema=schemas.TRENDS))
+
+
 @query
 def run_streams(spark, sf_dir):
     """Both queries on one message stream; rows in their two tables."""

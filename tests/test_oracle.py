@@ -4,7 +4,6 @@ import __spark_entry__ as entry_point
 from checks.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"read_event_stream"}
 
 
 @pytest.fixture(scope="module")
@@ -18,8 +17,7 @@ def test_equal_to_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == ROWS_ONLY
-    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
 
 
 def test_entry(spark):

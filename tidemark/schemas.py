@@ -4,22 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The JSON message: every field is optional, time is ISO-8601 text.
-MESSAGE = T.StructType(
-    [
-        T.StructField("event_id", T.StringType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("user_id", T.StringType()),
-        T.StructField("username", T.StringType()),
-        T.StructField("content", T.StringType()),
-        T.StructField("hashtags", T.ArrayType(T.StringType())),
-        T.StructField("likes", T.IntegerType()),
-        T.StructField("shares", T.IntegerType()),
-        T.StructField("comments", T.IntegerType()),
-        T.StructField("location", T.StringType()),
-        T.StructField("device", T.StringType()),
-        T.StructField("timestamp", T.StringType()),
-    ]
+_TYPES = {
+    "string": T.StringType(),
+    "strings": T.ArrayType(T.StringType()),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def declared(columns: str) -> T.StructType:
+    """A schema of optional fields from `name type, ...`, without a session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+# The fields of the JSON message, time being ISO-8601 text.
+MESSAGE = declared(
+    "event_id string, event_type string, user_id string, username string, content string,"
+    "hashtags strings, likes int, shares int, comments int, location string, device string,"
+    "timestamp string"
 )
 
 
@@ -33,40 +39,18 @@ def narrow(schema: T.StructType, *names: str) -> T.StructType:
 TREND_MESSAGE = narrow(MESSAGE, "event_type", "hashtags", "likes", "shares", "timestamp")
 
 BRONZE = T.StructType(
-    [f for f in MESSAGE.fields if f.name != "timestamp"]
-    + [
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("ingested_at", T.TimestampType()),
-    ]
+    [field for field in MESSAGE.fields if field.name != "timestamp"]
+    + declared("timestamp timestamp, ingested_at timestamp").fields
 )
 
 SILVER = T.StructType(
     BRONZE.fields
-    + [
-        T.StructField("hour_of_day", T.IntegerType()),
-        T.StructField("day_of_week", T.IntegerType()),
-        T.StructField("hashtag_count", T.IntegerType()),
-        T.StructField("is_viral", T.BooleanType()),
-        T.StructField("engagement_score", T.DoubleType()),
-        T.StructField("processed_at", T.TimestampType()),
-    ]
+    + declared(
+        "hour_of_day int, day_of_week int, hashtag_count int, is_viral boolean,"
+        "engagement_score double, processed_at timestamp"
+    ).fields
 )
 
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def declared(columns: str) -> T.StructType:
-    """A schema from `name type, ...`; unlike DDL parsing it needs no session."""
-    pairs = (column.split() for column in columns.split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
 GOLD = {
     "top_hashtags": declared(
         "hashtag string, total_mentions bigint, avg_likes double, avg_shares double,"

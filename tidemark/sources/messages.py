@@ -17,9 +17,12 @@ def decode(messages: DataFrame, schema: StructType = MESSAGE) -> DataFrame:
 
     Unknown fields are ignored. A field of the wrong type becomes NULL, and so
     do all fields of a line that is not JSON; no row is lost.
+
+    The generator keeps later filters above it. Below a plain projection they
+    would repeat the decoding, once per filtered field.
     """
     event = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(event.alias("event")).select("event.*")
+    return messages.select(F.inline(F.array(event)))
 
 
 def with_instants(events: DataFrame) -> DataFrame:
