@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tidemark.functions import engagement, moments, text
 from tidemark.operators import cleaning, hashtags, hours, marts, quality, serving, users
 from tidemark.operators.latest import keep_latest, keep_latest_of_few_copies
 from tidemark.operators.ranking import global_rank
-from tidemark.plans import medallion
+from tidemark.plans import medallion, publish
 from tidemark.plans.batch import run_batch as run_medallion
 from tidemark.plans.layout import Lake
 from tidemark.rules import DEFAULT_RULES
@@ -133,7 +134,7 @@ def stream_bronze_counts(spark, sf_dir):
 
 
 @query
-def stream_restart(spark, sf_dir):
+def restart(spark, sf_dir):
     """A second run from the same checkpoint adds nothing and repeats nothing."""
     folder = scratch_path(spark, "stream-restart")
     for _ in range(2):
@@ -665,3 +666,17 @@ def run_batch(spark, sf_dir):
     lake, _ = _lake(spark, sf_dir, "batch")
     run_medallion(spark, lake)
     return untimed(spark.table("mart_trending_topics"))
+
+
+@query
+def publish_all(spark, sf_dir):
+    """Rows behind every served name, published anew after a run."""
+    lake, _ = _lake(spark, sf_dir, "publish")
+    run_medallion(spark, lake)
+    publish.withdraw(spark)
+    publish.publish_all(spark, lake)
+    counted = [
+        spark.table(name).agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
+        for name in publish.NAMES
+    ]
+    return reduce(DataFrame.unionByName, counted)

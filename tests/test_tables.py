@@ -96,3 +96,20 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark):
 def test_jdbc_options_bound_the_connections():
     options = relational.jdbc_options({"user": "u", "batchsize": "5"}, connections=4, batch_rows=100)
     assert options == {"truncate": "true", "numPartitions": "4", "batchsize": "5", "user": "u"}
+
+
+@pytest.mark.parametrize("held, attempts", [([7], 1), ([9, 7], 2)])
+def test_a_table_with_repeated_rows_is_sent_again(spark, monkeypatch, held, attempts):
+    # No database here: writing and counting are stood in for.
+    writes, counts = [], iter(held)
+    monkeypatch.setattr(relational, "write_counted", lambda df, write: writes.append(1) or 7)
+    monkeypatch.setattr(relational, "_held_rows", lambda *_: next(counts))
+    assert relational.publish_jdbc(spark.range(7), "jdbc:x", "t", {}) == 7
+    assert len(writes) == attempts
+
+
+def test_a_table_that_stays_wrong_is_reported(spark, monkeypatch):
+    monkeypatch.setattr(relational, "write_counted", lambda df, write: 7)
+    monkeypatch.setattr(relational, "_held_rows", lambda *_: 9)
+    with pytest.raises(relational.IncompleteTable, match="holds 9 rows, 7 were sent"):
+        relational.publish_jdbc(spark.range(7), "jdbc:x", "t", {})

@@ -9,7 +9,7 @@ from tidemark.operators import marts
 from tidemark.plans.layout import Lake
 
 # Dependents first; the order in which names have to go.
-_NAMES = (
+NAMES = (
     "mart_trending_topics",
     "stg_top_hashtags",
     "stg_user_engagement",
@@ -19,7 +19,7 @@ _NAMES = (
 
 def withdraw(spark: SparkSession) -> None:
     """Drop all served names, dependents first."""
-    for name in _NAMES:
+    for name in NAMES:
         spark.catalog.dropTempView(name)
 
 

@@ -21,6 +21,10 @@ def jdbc_options(
     }
 
 
+class IncompleteTable(RuntimeError):
+    """The store does not hold the rows that were sent."""
+
+
 def publish_jdbc(
     df: DataFrame,
     url: str,
@@ -28,18 +32,35 @@ def publish_jdbc(
     properties: Mapping[str, str],
     connections: int = 16,
     batch_rows: int = 10_000,
+    attempts: int = 2,
 ) -> int:
-    """Replace a table with the rows of `df`; return how many were sent.
+    """Replace a table with the rows of `df`; return how many it holds then.
 
     The table is emptied and refilled rather than dropped, so that views on it
     stay; pass `truncate="false"` to replace its schema too. The store, not the
     cluster, limits the throughput: at most `connections` tasks write at a time,
     in batches.
+
+    Tasks commit on their own. An executor lost between a task's commit and its
+    report makes Spark send the task's rows again, so the store's own count is
+    compared with the rows of `df`, and the table replaced anew if they differ.
     """
     options = jdbc_options(properties, connections, batch_rows)
-    return write_counted(
-        df, lambda counted: counted.write.jdbc(url, table, mode="overwrite", properties=options)
-    )
+    for _ in range(attempts):
+        rows = write_counted(
+            df, lambda counted: counted.write.jdbc(url, table, "overwrite", options)
+        )
+        held = _held_rows(df.sparkSession, url, table, properties)
+        if held == rows:
+            return rows
+    raise IncompleteTable(f"{table} holds {held} rows, {rows} were sent")
+
+
+def _held_rows(
+    spark: SparkSession, url: str, table: str, properties: Mapping[str, str]
+) -> int:
+    count = read_jdbc(spark, url, f"SELECT COUNT(*) AS held FROM {table}", properties)
+    return int(count.first()[0])
 
 
 def read_jdbc(
