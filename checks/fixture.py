@@ -33,7 +33,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derive(events: DataFrame) -> DataFrame:
     """Works on a batch or a stream of `events`."""
     num = F.col("event_id")
-    every = lambda n: num % n == 0
+
+    def every(n: int) -> Column:
+        return num % n == 0
+
     seed = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     base = events.select(
         "event_id", "user_id", "ts",
@@ -45,10 +48,11 @@ def derive(events: DataFrame) -> DataFrame:
     )
 
     b, post = F.col("b"), F.col("kind") == "post"
+
+    def counter(factor: int, span: int) -> Column:
+        return F.when(post, (num * factor) % (b * span + 1)).otherwise(0)
+
     tags = F.array(*[F.lit(t) for t in TAGS])
-    counter = lambda factor, span: F.when(
-        post, (num * factor) % (b * span + 1)
-    ).otherwise(0)
     moment = F.when(every(113), None).otherwise(F.col("ts").cast("timestamp"))
     rows = base.select(
         F.when(every(101), None)

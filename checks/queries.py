@@ -19,7 +19,7 @@ from tidemark.plans.batch import run_batch as run_medallion
 from tidemark.plans.layout import Lake
 from tidemark.rules import DEFAULT_RULES
 from tidemark.session import pin_utc
-from tidemark.sources.messages import parse_events
+from tidemark.sources.messages import decode, parse_events
 from tidemark.sources.scratch import scratch_path
 from tidemark.sources.tables import overwrite_table, read_table
 from tidemark.streaming import ingest, runner, trends
@@ -86,6 +86,13 @@ def parse_json(spark, sf_dir):
     return plain_times(flat, "timestamp")
 
 
+@query
+def flatten_struct(spark, sf_dir):
+    """Decoded fields before the time is parsed."""
+    flat = decode(fixture.messages(bronze(spark, sf_dir)))
+    return flat.withColumn("hashtags", F.array_join("hashtags", "|"))
+
+
 @query
 def parse_timestamp(spark, sf_dir):
     events = parse_events(fixture.messages(bronze(spark, sf_dir)))
@@ -169,6 +176,23 @@ def trending_hashtags(spark, sf_dir):
     return _rounded_trends(read_table(spark, f"{folder}/t", schema=schemas.TRENDS))
 
 
+@query
+def with_watermark(spark, sf_dir):
+    """Where the watermark stands after all messages."""
+    folder = scratch_path(spark, "stream-mark")
+    events = parse_events(fixture.message_stream(spark, sf_dir), schemas.TREND_MESSAGE)
+    done = runner.finish(
+        trends.write_trends(
+            trends.trending_hashtags(events), f"{folder}/t", f"{folder}/checkpoint", bounded=True
+        )
+    )
+    mark = done.lastProgress["eventTime"]["watermark"]
+    parsed = spark.createDataFrame([(mark,)], "mark string").select(
+        moments.instant(F.col("mark")).alias("watermark")
+    )
+    return plain_times(parsed, "watermark")
+
+
 @query
 def late_data(spark, sf_dir):
     """Trend windows when a seventeenth of the messages comes after all others.
@@ -202,6 +226,16 @@ def run_streams(spark, sf_dir):
     return stored.unionByName(closed)
 
 
+@query
+def tumbling_window(spark, sf_dir):
+    """The window of every event that has a time."""
+    rows = bronze(spark, sf_dir).select(
+        "content", F.window("timestamp", DEFAULT_RULES.trend_window).alias("window")
+    )
+    flat = rows.selectExpr("content", "window.start window_start", "window.end window_end")
+    return plain_times(flat, "window_start", "window_end")
+
+
 @query
 def hashtag_windows(spark, sf_dir):
     """Tumbling windows in batch, with their event counts."""
@@ -635,6 +669,14 @@ def silver_events(spark, sf_dir):
     return _comparable_silver(silver(spark, sf_dir))
 
 
+@query
+def read_table_bronze(spark, sf_dir):
+    """A partitioned table read back with its declared types and order."""
+    lake, _ = _lake(spark, sf_dir, "read")
+    rows = plain_times(lake.bronze(spark), "timestamp", "ingested_at")
+    return rows.withColumn("hashtags", F.array_join("hashtags", "|"))
+
+
 @query
 def silver_roundtrip(spark, sf_dir):
     """Overwritten twice, read back from its partitions."""

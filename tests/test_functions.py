@@ -43,7 +43,15 @@ def test_tiers_are_parameters(spark):
 
 @pytest.mark.parametrize(
     "viral, mentions, rate",
-    [(0, 0, None), (1, 0, None), (0, 7, 0.0), (1, 3, 33.3), (2, 3, 66.7), (1, 2000, 0.1), (5, 5, 100.0)],
+    [
+        (0, 0, None),
+        (1, 0, None),
+        (0, 7, 0.0),
+        (1, 3, 33.3),
+        (2, 3, 66.7),
+        (1, 2000, 0.1),
+        (5, 5, 100.0),
+    ],
 )
 def test_viral_rate(spark, viral, mentions, rate):
     assert one(spark, engagement.viral_rate(F.lit(viral), F.lit(mentions))) == rate
@@ -103,11 +111,9 @@ def test_instants_with_and_without_fraction(spark):
 
 
 def test_weekday_starts_on_sunday(spark):
-    days = spark.sql("select timestamp'2024-01-07 23:59:59' d union all select timestamp'2024-01-13'")
-    assert values(days.select(moments.day_of_week(F.col("d")), moments.hour_of_day(F.col("d")))) == [
-        (1, 23),
-        (7, 0),
-    ]
+    days = spark.sql("select explode(array(timestamp'2024-01-07 23:59:59', timestamp'2024-01-13')) d")
+    parts = days.select(moments.day_of_week(F.col("d")), moments.hour_of_day(F.col("d")))
+    assert values(parts) == [(1, 23), (7, 0)]
 
 
 def test_text(spark):

@@ -16,7 +16,8 @@ def test_only_posts_count_and_empty_arrays_vanish(events):
             {"hashtags": []},
         )
     )
-    assert values(hashtags.top_hashtags(silver), "hashtag", "total_mentions", "avg_likes", "rank") == [
+    table = hashtags.top_hashtags(silver)
+    assert values(table, "hashtag", "total_mentions", "avg_likes", "rank") == [
         ("A", 2, 1.5, 1),
         ("B", 1, 1.0, 2),
     ]
@@ -31,8 +32,8 @@ def test_trends_compare_the_type_as_received(events):
 
 
 def test_windows_start_inclusive_end_exclusive(events):
-    at = lambda *minute_second: NOON.replace(minute=minute_second[0], second=minute_second[1])
-    rows = events({"timestamp": at(0, 0)}, {"timestamp": at(4, 59)}, {"timestamp": at(5, 0)})
+    times = [(0, 0), (4, 59), (5, 0)]
+    rows = events(*[{"timestamp": NOON.replace(minute=m, second=s)} for m, s in times])
     found = hashtags.windowed_mentions(rows).selectExpr(
         "date_format(window_start, 'HH:mm')", "date_format(window_end, 'HH:mm')", "mention_count"
     )

@@ -30,6 +30,9 @@ def test_small_inputs_leave_the_settings_alone(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-@pytest.mark.parametrize("text, size", [("200", 200), ("134217728b", 128 * MB), ("128m", 128 * MB), ("1g", 1024 * MB), ("2MB", 2 * MB)])
+@pytest.mark.parametrize(
+    "text, size",
+    [("200", 200), ("134217728b", 128 * MB), ("128m", 128 * MB), ("1g", 1024 * MB), ("2MB", 2 * MB)],
+)
 def test_sizes(text, size):
     assert _number(text) == size

@@ -1,3 +1,4 @@
+import random
 from datetime import timedelta
 
 import pytest
@@ -97,3 +98,22 @@ def test_silver_columns(events):
     row = silver.first()
     assert (row["hour_of_day"], row["day_of_week"], row["hashtag_count"]) == (12, 2, 1)
     assert (row["is_viral"], row["engagement_score"]) == (False, 10 + 2 * 4 + 1.5 * 2)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_copies_with_one_hot_key(spark, seed):
+    pick = random.Random(seed)
+    rows = [
+        # A third of all rows has one key; orders repeat, so that ties occur.
+        ("hot" if pick.random() < 1 / 3 else f"k{pick.randrange(400)}", pick.randrange(30), i)
+        for i in range(2000)
+    ]
+    expected = {}
+    for key, order, tie in rows:
+        held = expected.get(key)
+        if held is None or (-order, tie) < (-held[0], held[1]):
+            expected[key] = (order, tie)
+    df = spark.createDataFrame(rows, "k string, o int, tie int").repartition(5)
+    wanted = sorted((k, *v) for k, v in expected.items())
+    assert sorted(map(tuple, keep_latest(df, ["k"], ["o"]).collect())) == wanted
+    assert sorted(map(tuple, keep_latest_of_few_copies(df, ["k"], ["o"]).collect())) == wanted

@@ -115,7 +115,8 @@ def test_late_rows_are_dropped_by_window_end(spark, topic, tmp_path):
 
 
 def test_only_mentions_move_event_time(spark, topic, tmp_path):
-    topic.send(post(0), post(59, event_type="like"), post(59, hashtags=[]), post(59, event_type=" POST "))
+    others = ({"event_type": "like"}, {"hashtags": []}, {"event_type": " POST "})
+    topic.send(post(0), *[post(59, **other) for other in others])
     run_trends(topic, tmp_path)
     assert windows(spark, tmp_path) == []
 
@@ -166,7 +167,8 @@ def test_first_failure_ends_all(spark, topic, tmp_path):
     broken = events.withColumn("user_id", F.raise_error(F.lit("broken")).cast("string"))
 
     def start(df, name):
-        return lambda: ingest.append_stream(df, str(tmp_path / name), str(tmp_path / f"{name}-c"), name)
+        path = str(tmp_path / name)
+        return lambda: ingest.append_stream(df, path, f"{path}-checkpoint", name)
 
     with pytest.raises(Exception, match="broken"):
         runner.run_streams(spark, [start(events, "good"), start(broken, "bad")])

@@ -94,7 +94,8 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark):
 
 
 def test_jdbc_options_bound_the_connections():
-    options = relational.jdbc_options({"user": "u", "batchsize": "5"}, connections=4, batch_rows=100)
+    given = {"user": "u", "batchsize": "5"}
+    options = relational.jdbc_options(given, connections=4, batch_rows=100)
     assert options == {"truncate": "true", "numPartitions": "4", "batchsize": "5", "user": "u"}
 
 

@@ -28,13 +28,15 @@ def hashtag_totals(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) ->
         filter_posts(silver, rules),
         "likes", "shares", "comments", "engagement_score", "is_viral",
     )
-    mean = lambda name: engagement.one_decimal(F.avg(name))
+    means = {
+        "avg_likes": "likes",
+        "avg_shares": "shares",
+        "avg_comments": "comments",
+        "avg_engagement": "engagement_score",
+    }
     return mentions.groupBy("hashtag").agg(
         F.count(F.lit(1)).alias("total_mentions"),
-        mean("likes").alias("avg_likes"),
-        mean("shares").alias("avg_shares"),
-        mean("comments").alias("avg_comments"),
-        mean("engagement_score").alias("avg_engagement"),
+        *[engagement.one_decimal(F.avg(c)).alias(name) for name, c in means.items()],
         F.sum(engagement.flag(F.col("is_viral"))).alias("viral_count"),
     )
 

@@ -36,7 +36,7 @@ def keep_latest_of_few_copies(
     df: DataFrame,
     keys: Sequence[str],
     newest_first: Sequence[str],
-    broadcast_keys: int = 2_000_000,
+    broadcast_keys: int = 5_000_000,
 ) -> DataFrame:
     """The same rows as `keep_latest`, for large tables with few repeated keys.
 
@@ -44,7 +44,8 @@ def keep_latest_of_few_copies(
     stores the hashes that occur twice or more. Rows with any other hash are
     alone and pass without a shuffle; only the rest goes through the window.
     Unequal keys with one hash merely take the window path. With more repeated
-    hashes than `broadcast_keys` the plain window is used.
+    hashes than `broadcast_keys` (a few hundred MB in each executor) the plain
+    window is used.
     """
     hashed = df.withColumn(_KEY_HASH, F.xxhash64(*keys))
     repeated, count = materialize(

@@ -11,6 +11,8 @@ from tidemark.sources.scratch import materialize
 
 SINGLE_TASK_ROWS = 200_000
 ROWS_PER_SLICE = 500_000
+# Slices grow beyond this, so that their sizes stay a small table.
+MAX_SLICES = 5_000
 
 
 def global_rank(
@@ -30,7 +32,8 @@ def global_rank(
     stored, rows = materialize(df, "unranked")
     if rows <= single_task_rows:
         return stored.withColumn(into, F.rank().over(Window.orderBy(F.desc_nulls_last(by))))
-    return _rank_by_slices(stored, by, into, max(2, math.ceil(rows / rows_per_slice)))
+    slices = min(max(2, math.ceil(rows / rows_per_slice)), MAX_SLICES)
+    return _rank_by_slices(stored, by, into, slices)
 
 
 def _rank_by_slices(stored: DataFrame, by: str, into: str, slices: int) -> DataFrame:

@@ -10,20 +10,22 @@ from pyspark.sql import functions as F
 from tidemark.functions import engagement, moments
 from tidemark.operators.ranking import global_rank
 from tidemark.rules import DEFAULT_RULES, EngagementRules
+from tidemark.schemas import GOLD
 
 USER = ("user_id", "username")
+USER_COLUMNS = GOLD["user_engagement"].names
 
 
 def type_counts(rules: EngagementRules = DEFAULT_RULES) -> dict[str, Column]:
     """Conditional counts: the user's own posts, likes, shares, comments, viral posts."""
-    of_type = lambda name: F.count_if(F.col("event_type") == name)
-    return {
-        "total_posts": of_type(rules.post_type),
-        "total_likes": of_type("like"),
-        "total_shares": of_type("share"),
-        "total_comments": of_type("comment"),
-        "viral_posts": F.count_if("is_viral"),
+    types = {
+        "total_posts": rules.post_type,
+        "total_likes": "like",
+        "total_shares": "share",
+        "total_comments": "comment",
     }
+    counts = {name: F.count_if(F.col("event_type") == kind) for name, kind in types.items()}
+    return {**counts, "viral_posts": F.count_if("is_viral")}
 
 
 def conditional_counts(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> DataFrame:
@@ -62,20 +64,15 @@ def user_totals(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> Da
         F.sum("engagement_score").alias("score"),
         F.min(F.struct("timestamp", "location")).alias("earliest"),
     )
-    total = {name: F.sum(name).alias(name) for name in counts}
-    rounded = engagement.one_decimal
-    return per_device.groupBy(*USER).agg(
-        total["total_events"],
-        total["total_posts"],
-        total["total_likes"],
-        total["total_shares"],
-        total["total_comments"],
-        rounded(F.sum("score")).alias("total_engagement_score"),
-        rounded(F.sum("score") / F.sum("total_events")).alias("avg_engagement_score"),
-        total["viral_posts"],
+    score, events = F.sum("score"), F.sum("total_events")
+    totals = per_device.groupBy(*USER).agg(
+        *[F.sum(name).alias(name) for name in counts],
+        engagement.one_decimal(score).alias("total_engagement_score"),
+        engagement.one_decimal(score / events).alias("avg_engagement_score"),
         F.count("device").alias("devices_used"),
         F.min("earliest").getField("location").alias("primary_location"),
     )
+    return totals.select(*[c for c in USER_COLUMNS if c in totals.columns])
 
 
 def user_engagement(

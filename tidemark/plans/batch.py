@@ -23,7 +23,7 @@ from tidemark.sources.scratch import scratch_scope
 from tidemark.sources.tables import overwrite_table, table_bytes
 
 # From here on, reading the keys first is cheaper than shuffling every row.
-FEW_COPIES_BYTES = 1 << 40
+FEW_COPIES_BYTES = 64 << 30
 
 # Copies a table to another store and returns the rows sent.
 Send = Callable[[str, DataFrame], int]
