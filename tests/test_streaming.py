@@ -103,7 +103,9 @@ def test_late_rows_are_dropped_by_window_end(spark, topic, tmp_path):
     # The watermark stands at 12:11: the window of minute 12 is still open, those
     # of minutes 1 and 9 are closed.
     topic.send(post(1), post(9), post(12))
-    run_trends(topic, tmp_path)
+    progress = run_trends(topic, tmp_path).recentProgress
+    dropped = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress]
+    assert sum(dropped) == 2
     topic.send(post(50))
     run_trends(topic, tmp_path)
     assert windows(spark, tmp_path) == [
@@ -144,6 +146,25 @@ def test_restart_neither_loses_nor_repeats(spark, topic, tmp_path):
     assert stored.select("ingested_at").distinct().count() == 2
 
 
+def test_a_failed_batch_is_repeated_as_a_whole(spark, topic, tmp_path):
+    path, checkpoint = str(tmp_path / "b"), str(tmp_path / "bc")
+
+    def run(events):
+        runner.finish(ingest.write_bronze(events, path, checkpoint, bounded=True))
+
+    topic.send(post(1))
+    run(parse_events(topic.stream()))
+    topic.send(*[post(m) for m in range(2, 12)])
+    events = parse_events(topic.stream())
+    lost = F.raise_error(F.lit("lost"))
+    failing = F.when(F.col("event_id") == "m9", lost).otherwise(F.col("device"))
+    with pytest.raises(Exception, match="lost"):
+        run(events.withColumn("device", failing))
+    run(parse_events(topic.stream()))
+    stored = read_table(spark, path, schema=schemas.BRONZE)
+    assert values(stored, "event_id") == sorted((f"m{m}",) for m in range(1, 12))
+
+
 def test_both_streams_together(spark, topic, tmp_path):
     topic.send(post(0), post(1, hashtags=["A", "B"]), post(30))
     lake = Lake(str(tmp_path / "lake"))
