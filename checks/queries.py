@@ -18,26 +18,57 @@ from tidemark.plans import medallion, publish
 from tidemark.plans.batch import run_batch as run_medallion
 from tidemark.plans.layout import Lake
 from tidemark.rules import DEFAULT_RULES
-from tidemark.session import pin_utc
+from tidemark.session import (
+    READ_BYTES,
+    SHUFFLE_PARTITIONS,
+    apply_settings,
+    partition_settings,
+    pin_utc,
+)
 from tidemark.sources.messages import decode, parse_events
 from tidemark.sources.scratch import scratch_path
-from tidemark.sources.tables import overwrite_table, read_table
+from tidemark.sources.tables import overwrite_table, read_table, table_bytes
 from tidemark.streaming import ingest, runner, trends
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+# The partition settings a session came with.
+_given_settings: dict[str, dict[str, str]] = {}
+
+
 def query(function: Query) -> Query:
-    """Register under the function's name."""
+    """Register under the function's name, sized for the given tables."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(pin_utc(spark), sf_dir)
+        _size_session(pin_utc(spark), sf_dir, function in _STREAMS)
+        return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run
     return function
 
 
+def streaming(function: Query) -> Query:
+    """Mark a query whose state partitions should be the session's own number."""
+    _STREAMS.add(function)
+    return function
+
+
+_STREAMS: set[Query] = set()
+
+
+def _size_session(spark: SparkSession, sf_dir: str, stream: bool) -> None:
+    """Results are computed after the query has returned, so the settings stay
+    until the next query."""
+    app = spark.sparkContext.applicationId
+    keys = (SHUFFLE_PARTITIONS, READ_BYTES)
+    given = _given_settings.setdefault(app, {key: spark.conf.get(key) for key in keys})
+    apply_settings(spark, given)
+    if not stream:
+        apply_settings(spark, partition_settings(spark, table_bytes(spark, sf_dir)))
+
+
 def plain_times(df: DataFrame, *columns: str) -> DataFrame:
     """UTC instants as zone-less timestamps, as the other engine has them."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
@@ -109,6 +140,7 @@ def stamp_ingested(spark, sf_dir):
 
 
 @query
+@streaming
 def read_event_stream(spark, sf_dir):
     """The stream source: every message arrives, each once."""
     folder = scratch_path(spark, "read-stream")
@@ -126,6 +158,7 @@ def read_event_stream(spark, sf_dir):
 
 
 @query
+@streaming
 def stream_bronze_counts(spark, sf_dir):
     folder = scratch_path(spark, "stream-bronze")
     events = parse_events(fixture.message_stream(spark, sf_dir))
@@ -141,6 +174,7 @@ def stream_bronze_counts(spark, sf_dir):
 
 
 @query
+@streaming
 def restart(spark, sf_dir):
     """A second run from the same checkpoint adds nothing and repeats nothing."""
     folder = scratch_path(spark, "stream-restart")
@@ -165,6 +199,7 @@ def _rounded_trends(df):
 
 
 @query
+@streaming
 def trending_hashtags(spark, sf_dir):
     folder = scratch_path(spark, "stream-trends")
     events = parse_events(fixture.message_stream(spark, sf_dir), schemas.TREND_MESSAGE)
@@ -177,6 +212,7 @@ def trending_hashtags(spark, sf_dir):
 
 
 @query
+@streaming
 def with_watermark(spark, sf_dir):
     """Where the watermark stands after all messages."""
     folder = scratch_path(spark, "stream-mark")
@@ -194,6 +230,7 @@ def with_watermark(spark, sf_dir):
 
 
 @query
+@streaming
 def late_data(spark, sf_dir):
     """Trend windows when the messages of one city come after all others.
 
@@ -216,6 +253,7 @@ def late_data(spark, sf_dir):
 
 
 @query
+@streaming
 def run_streams(spark, sf_dir):
     """Both queries on one message stream; rows in their two tables."""
     lake = Lake(scratch_path(spark, "streams"))

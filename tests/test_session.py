@@ -1,6 +1,7 @@
 import pytest
 
-from tidemark.session import _number, partition_plan, sized_for
+from checks import queries
+from tidemark.session import SHUFFLE_PARTITIONS, _number, partition_plan, sized_for
 
 TB = 1 << 40
 MB = 1 << 20
@@ -32,7 +33,28 @@ def test_small_inputs_leave_the_settings_alone(spark):
 
 @pytest.mark.parametrize(
     "text, size",
-    [("200", 200), ("134217728b", 128 * MB), ("128m", 128 * MB), ("1g", 1024 * MB), ("2MB", 2 * MB)],
+    [
+        ("200", 200),
+        ("134217728b", 128 * MB),
+        ("128m", 128 * MB),
+        ("1g", 1024 * MB),
+        ("2MB", 2 * MB),
+    ],
 )
 def test_sizes(text, size):
     assert _number(text) == size
+
+
+def test_queries_are_sized_for_their_tables(spark, monkeypatch):
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    monkeypatch.setattr(queries, "table_bytes", lambda spark, path: TB)
+    monkeypatch.setattr(queries, "_given_settings", {})
+    sf_dir = "/root/testdata/sf0.001"
+    try:
+        queries.QUERIES["round_half_up_1"](spark, sf_dir)
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == "8192"
+        # A stream keeps the session's own number.
+        queries.QUERIES["read_event_stream"](spark, sf_dir)
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == before
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)

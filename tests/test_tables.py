@@ -8,16 +8,18 @@ from tidemark.sources import relational, scratch
 from tidemark.sources.tables import overwrite_table, read_table, table_bytes
 
 
-def test_overwrite_replaces_rows_and_schema(spark, tmp_path):
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_overwrite_replaces_rows_and_schema(spark, tmp_path, fmt):
     path = str(tmp_path / "t")
-    assert overwrite_table(spark.range(5), path) == 5
-    held = read_table(spark, path)
-    assert overwrite_table(spark.range(2).withColumn("n", F.lit("x")), path) == 2
-    assert values(read_table(spark, path)) == [(0, "x"), (1, "x")]
+    assert overwrite_table(spark.range(5), path, fmt=fmt) == 5
+    held = read_table(spark, path, fmt)
+    changed = spark.range(2).withColumn("n", F.lit("x"))
+    assert overwrite_table(changed, path, fmt=fmt) == 2
+    assert values(read_table(spark, path, fmt)) == [(0, "x"), (1, "x")]
     # A reader that still holds the version before can go on.
     assert held.count() == 5
     for _ in range(3):
-        overwrite_table(spark.range(1), path)
+        overwrite_table(spark.range(1), path, fmt=fmt)
     assert len([d for d in os.listdir(path) if d.startswith("version-")]) == 2
     assert table_bytes(spark, path) > 0
 

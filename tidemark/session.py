@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+READ_BYTES = "spark.sql.files.maxPartitionBytes"
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MAX_SPLIT_BYTES = 1024 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 50_000
@@ -18,7 +21,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
-    "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    READ_BYTES: str(TARGET_PARTITION_BYTES),
     "spark.sql.parquet.compression.codec": "zstd",
     # Windowed state is kept on local disk and backed up to the checkpoint, so
     # it is not bound by executor heap.
@@ -60,27 +63,35 @@ def partition_plan(input_bytes: int, slots: int) -> tuple[int, int]:
     return partitions, min(max(split, TARGET_PARTITION_BYTES), MAX_SPLIT_BYTES)
 
 
+def partition_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Session settings for batch work over `input_bytes`, never below what is set now."""
+    partitions, split = partition_plan(input_bytes, spark.sparkContext.defaultParallelism)
+    wanted = {SHUFFLE_PARTITIONS: partitions, READ_BYTES: split}
+    return {
+        key: str(size) if size > _number(spark.conf.get(key)) else spark.conf.get(key)
+        for key, size in wanted.items()
+    }
+
+
 @contextmanager
 def sized_for(spark: SparkSession, input_bytes: int):
-    """Partition settings for batch jobs over `input_bytes`, put back afterwards.
+    """Use those settings for the actions within, and put the old ones back.
 
-    They never go below what the session had. Putting them back matters for
-    streams, whose state is bound to the number their first run finds.
+    Putting them back matters for streams, whose state is bound to the number of
+    partitions their first run finds.
     """
-    partitions, split = partition_plan(input_bytes, spark.sparkContext.defaultParallelism)
-    wanted = {
-        "spark.sql.shuffle.partitions": partitions,
-        "spark.sql.files.maxPartitionBytes": split,
-    }
-    before = {key: spark.conf.get(key) for key in wanted}
+    sized = partition_settings(spark, input_bytes)
+    before = {key: spark.conf.get(key) for key in sized}
+    apply_settings(spark, sized)
     try:
-        for key, size in wanted.items():
-            if size > _number(before[key]):
-                spark.conf.set(key, str(size))
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        apply_settings(spark, before)
+
+
+def apply_settings(spark: SparkSession, settings: Mapping[str, str]) -> None:
+    for key, value in settings.items():
+        spark.conf.set(key, value)
 
 
 def _number(text: str) -> int:
