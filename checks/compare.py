@@ -26,8 +26,9 @@ _TYPES = {
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for file in sorted(Path(sf_dir).glob("*.parquet")):
-        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    for table in sorted(Path(sf_dir).glob("*.parquet")):
+        files = f"{table}/*.parquet" if table.is_dir() else table
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 

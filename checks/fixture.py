@@ -129,9 +129,7 @@ def messages(bronze_rows: DataFrame) -> DataFrame:
 
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as a stream that reads the given table."""
-    events = (
-        spark.readStream.schema(given(spark, sf_dir, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    schema = given(spark, sf_dir, "events").schema
+    # As a pattern the path may be one file or a folder of files.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     return messages(derive(events))

@@ -22,3 +22,10 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() >= 10
+
+
+@pytest.mark.parametrize("name", ["trending_hashtags", "stream_bronze_counts", "silver_events"])
+def test_tables_that_are_folders_of_files(spark, tmp_path, name):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    assert difference(spark, connect(str(tmp_path)), str(tmp_path), name) is None
