@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from checks.queries import QUERIES
 from checks.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -11,13 +12,13 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_equal_to_sql(spark, duck, name):
     assert difference(spark, duck, SF_DIR, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) <= set(entry_point.queries()) & set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
