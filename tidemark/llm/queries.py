@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.fertility import measure_quality
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
 from tidemark.llm.sharding import shard_documents
+from tidemark.llm.token_counts import count_tokens
 from tidemark.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +51,13 @@ def op5_jump_sharding(spark, sf_dir):
 @query
 def op7_fertility_quality(spark, sf_dir):
     return measure_quality(documents(spark, sf_dir), vocabulary(PIECES))
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    return count_tokens(documents(spark, sf_dir), vocabulary(WORD_PIECES), limit=2048)
+
+
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), vocabulary(WORD_PIECES), capacity=4096)
