@@ -11,6 +11,7 @@ from tidemark.llm.fertility import measure_quality
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.unigram import encoding_digest
 from tidemark.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +62,8 @@ def op4_token_counts(spark, sf_dir):
 @query
 def op8_best_fit_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), vocabulary(WORD_PIECES), capacity=4096)
+
+
+@query
+def op9_unigram_encoding(spark, sf_dir):
+    return encoding_digest(documents(spark, sf_dir), vocabulary(PIECES))
