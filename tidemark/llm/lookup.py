@@ -21,7 +21,7 @@ MOST_FREQUENT = 250_000
 # Distinct keys that a task holds before it hands its counts on.
 _HELD_KEYS = 300_000
 
-Counts = Callable[[int | None, bytes], Mapping[str, int]]
+Counts = Callable[[int | None, bytes], Mapping[str | bytes, int]]
 _COUNTED = pa.schema([("key", pa.string()), ("times", pa.int64())])
 
 
@@ -38,14 +38,19 @@ def count_keys(rows: DataFrame, counter: Callable[[], Counts]) -> DataFrame:
                 for key, times in counts_of(doc_id, text).items():
                     held[key] += times
                 if len(held) > _HELD_KEYS:
-                    yield from in_batches(_COUNTED, held.items())
+                    yield from in_batches(_COUNTED, map(_readable, held.items()))
                     held.clear()
-        yield from in_batches(_COUNTED, held.items())
+        yield from in_batches(_COUNTED, map(_readable, held.items()))
 
     counted = rows.mapInArrow(count, "key string, times bigint")
     return counted.groupBy("key").agg(F.sum("times").alias("times"))
 
 
+def _readable(counted: tuple) -> tuple:
+    key, times = counted
+    return key.decode("utf-8", "replace") if isinstance(key, bytes) else key, times
+
+
 def most_frequent(table: DataFrame, columns: list[str], most: int = MOST_FREQUENT) -> list[Row]:
     """Rows of the most frequent keys, at most `most`: all keys from some count on.
 

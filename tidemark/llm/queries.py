@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.fertility import measure_quality
+from tidemark.llm.log_bilinear import score_documents
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.token_counts import count_tokens
@@ -67,3 +68,8 @@ def op8_best_fit_packing(spark, sf_dir):
 @query
 def op9_unigram_encoding(spark, sf_dir):
     return encoding_digest(documents(spark, sf_dir), vocabulary(PIECES))
+
+
+@query
+def op10_log_bilinear_scores(spark, sf_dir):
+    return score_documents(documents(spark, sf_dir))
