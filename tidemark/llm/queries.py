@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.fertility import measure_quality
 from tidemark.llm.log_bilinear import score_documents
+from tidemark.llm.ngram_join import similar_classes
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.token_counts import count_tokens
@@ -73,3 +74,8 @@ def op9_unigram_encoding(spark, sf_dir):
 @query
 def op10_log_bilinear_scores(spark, sf_dir):
     return score_documents(documents(spark, sf_dir))
+
+
+@query
+def op3_ngram_join(spark, sf_dir):
+    return similar_classes(documents(spark, sf_dir))
