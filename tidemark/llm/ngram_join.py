@@ -6,8 +6,8 @@ makes the candidates; under a second order candidates must share several tokens
 longer prefix; what passes both is verified on the whole sets. Equal sets are one node.
 
 Near copies would make pairs by the square of their number, but classes only need to be
-connected. So first every node is only compared with the smallest node of each of its
-buckets (nodes sharing a prefix token); then, in buckets that still hold nodes of several
+connected. So first every node is only compared with one node of each of its
+buckets (nodes sharing a prefix token, the token early enough in both); then, in buckets that still hold nodes of several
 classes, nodes of different classes are compared. No link between two classes is lost.
 """
 
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import documents_of, id_and_text, in_batches
@@ -45,6 +45,10 @@ class JoinRules:
         """What a set of this size has in common with any partner."""
         return -(-self.percent * size // 100)
 
+    def pair_common(self, size_a, size_b):
+        """What two sets of these sizes have in common when they link (numbers or columns)."""
+        return (self.percent * (size_a + size_b) + 99 + self.percent) // (100 + self.percent)
+
     def linked(self, common: int, size_a: int, size_b: int) -> bool:
         return 100 * common >= self.percent * (size_a + size_b - common)
 
@@ -114,11 +118,27 @@ class Orders:
 
 
 def _extra(size: int, rules: JoinRules) -> int:
-    """By how many tokens more than one the second prefix of a set of this size is
-    longer; so many more must be common to both prefixes."""
+    """How many tokens of a set no partner needs to have. The first prefix is one token
+    longer, the second prefix twice that and one."""
     return size - rules.least_common(size)
 
 
+def _place(position: Column, size: Column) -> Column:
+    """Where a token stands in its set's order, and the set's size, in one number."""
+    return F.shiftleft(position.cast("long"), 32).bitwiseOR(size.cast("long"))
+
+
+def _fit(rules: JoinRules, a: Column, b: Column) -> Column:
+    """Whether sets can link whose first common token has these places: what follows it
+    in either set must suffice. A pair that links fits at its first common token."""
+    sizes = [place.bitwiseAND(F.lit(0xFFFFFFFF)) for place in (a, b)]
+    least = F.floor(
+        (F.lit(rules.percent) * (sizes[0] + sizes[1]) + (99 + rules.percent)) / (100 + rules.percent)
+    )
+    after = [size - F.shiftright(place, 32) for size, place in zip(sizes, (a, b))]
+    return (after[0] >= least) & (after[1] >= least)
+
+
 def _prefixes(rows: DataFrame, orders, rules: JoinRules) -> DataFrame:
     """node, n, first (tokens of the first prefix), second (of the longer second one, as
     sorted 32-bit hashes: an accidental match lets more pass, never less)."""
@@ -164,7 +184,10 @@ def _may_link(rules: JoinRules) -> Callable[..., bool]:
     def check(n_a: int, n_b: int, second_a: bytes, second_b: bytes) -> bool:
         if 100 * min(n_a, n_b) < rules.percent * max(n_a, n_b):
             return False
-        need = min(_extra(n_a, rules), _extra(n_b, rules)) + 1
+        # Of each prefix, all tokens but those the pair need not have in common are
+        # common to both prefixes.
+        longest = [min(n, 2 * _extra(n, rules) + 1) - n for n in (n_a, n_b)]
+        need = min(longest) + rules.pair_common(n_a, n_b)
         return _common(np.frombuffer(second_a, np.uint32), np.frombuffer(second_b, np.uint32)) >= need
 
     return check
@@ -254,16 +277,28 @@ def similar_classes(
         )
     )
     prefixes, _ = materialize(_prefixes(rows, orders, rules), "ngram-prefixes")
-    postings = prefixes.select(F.explode("first").alias("token"), "node")
+    postings = prefixes.select(
+        F.posexplode("first").alias("position", "token"), "node", "n"
+    ).select("token", "node", _place(F.col("position"), F.col("n")).alias("place"))
     hubs = (
         postings.groupBy("token")
-        .agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count(F.lit(1)).alias("rows"))
-        .where("hub <> last")
+        .agg(
+            F.min("place").alias("hub_place"),
+            # Nodes of equal place are as good as one another.
+            F.min_by("node", "place").alias("hub"),
+            F.min("node").alias("low"),
+            F.max("node").alias("high"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        .where("low <> high")
+        .drop("low", "high")
     )
-    buckets, _ = materialize(
-        postings.join(hubs.select("token", "hub", "rows"), "token"), "ngram-buckets"
+    buckets, _ = materialize(postings.join(hubs, "token"), "ngram-buckets")
+    to_hubs = (
+        buckets.where((F.col("node") != F.col("hub")) & _fit(rules, F.col("place"), F.col("hub_place")))
+        .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+        .distinct()
     )
-    to_hubs = buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links, _ = materialize(_verified(to_hubs, prefixes, rows, nodes, rules), "ngram-links")
     classes = connected_components(links, "ngram-hubs")
 
@@ -271,7 +306,7 @@ def similar_classes(
     open_rows = (
         buckets.where("rows > 2")
         .join(classes, "node", "left")
-        .select("token", "node", "hub", F.coalesce("component", "node").alias("class"))
+        .select("token", "node", "place", "hub", F.coalesce("component", "node").alias("class"))
     )
     several = (
         open_rows.groupBy("token")
@@ -283,7 +318,9 @@ def similar_classes(
     one, other = left.alias("one"), left.alias("other")
     across = (
         one.join(other, F.col("one.token") == F.col("other.token"))
-        .where("one.class <> other.class and one.node < other.node and one.node <> one.hub")
+        .where("one.node < other.node and one.class <> other.class")
+        .where("one.hub not in (one.node, other.node)")
+        .where(_fit(rules, F.col("one.place"), F.col("other.place")))
         .select(F.col("one.node").alias("a"), F.col("other.node").alias("b"))
         .distinct()
     )
@@ -297,3 +334,31 @@ def similar_classes(
         sets.join(by_node, "node", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
+
+
+def drop_similar(
+    docs: DataFrame, rules: JoinRules | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The same table with one document of each class left: the one with the smallest
+    id, and one row of it where its id is repeated. A row without an id stays."""
+    rules = rules or JoinRules()
+    key = F.col(id_col).cast("long")
+    classes, _ = materialize(similar_classes(docs, rules, id_col, text_col), "ngram-classes")
+    others, count = materialize(
+        classes.where("doc_id <> component_id").select(F.col("doc_id").alias("other_id")).distinct(),
+        "ngram-dropped",
+    )
+    few = count <= rules.broadcast_ids
+    kept = docs.join(F.broadcast(others) if few else others, key == F.col("other_id"), "left_anti")
+    repeated = (
+        classes.groupBy(F.col("doc_id").alias("other_id"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1 and other_id is not null")
+        .select("other_id")
+    )
+    repeated, count = materialize(repeated, "ngram-repeated")
+    if not count:
+        return kept
+    single = kept.join(repeated, key == F.col("other_id"), "left_anti")
+    several = kept.join(repeated, key == F.col("other_id"), "left_semi")
+    return single.union(several.dropDuplicates([id_col]))
