@@ -10,6 +10,7 @@ from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.fertility import measure_quality
 from tidemark.llm.log_bilinear import score_documents
 from tidemark.llm.ngram_join import similar_classes
+from tidemark.llm.robust_graph import link_embeddings
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.token_counts import count_tokens
@@ -79,3 +80,8 @@ def op10_log_bilinear_scores(spark, sf_dir):
 @query
 def op3_ngram_join(spark, sf_dir):
     return similar_classes(documents(spark, sf_dir))
+
+
+@query
+def op1_robust_graph_links(spark, sf_dir):
+    return link_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
