@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.fertility import measure_quality
+from tidemark.llm.licence_scan import scan_licences
 from tidemark.llm.log_bilinear import score_documents
 from tidemark.llm.ngram_join import similar_classes
 from tidemark.llm.robust_graph import link_embeddings
@@ -85,3 +86,8 @@ def op3_ngram_join(spark, sf_dir):
 @query
 def op1_robust_graph_links(spark, sf_dir):
     return link_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op6_licence_scan(spark, sf_dir):
+    return scan_licences(documents(spark, sf_dir))
