@@ -1,0 +1,118 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm.components import connected_components
+from tidemark.llm.ngram_join import JoinRules, drop_similar, similar_classes
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text, width):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
+
+
+def brute(rows, rules):
+    sets = [shingles(text, rules.width) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if a and sets[j] and 100 * common >= rules.percent * len(a | sets[j]):
+                root[find(i)] = find(j)
+    ids = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            ids[find(i)] = min(doc_id, ids.get(find(i), doc_id))
+    return [(doc_id, len(sets[i]), ids.get(find(i))) for i, (doc_id, _) in enumerate(rows)]
+
+
+def near_copies(seed, groups=6, copies=14):
+    """Chains and stars of edited texts around the threshold, and a passage all share."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randint(0, 400)}"
+    passage = " ".join(word() for _ in range(50))
+    rows = []
+    for group in range(groups):
+        base = [word() for _ in range(rng.choice([5, 30, 80, 120]))]
+        for copy in range(copies):
+            words = list(base)
+            for _ in range(rng.randint(0, 1 + len(words) // 25)):
+                words[rng.randrange(len(words))] = word()
+            if rng.random() < 0.3:
+                base = words
+            if rng.random() < 0.1:
+                words = passage.split() + words
+            rows.append((group * 100 + copy, " ".join(words)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("rules", [JoinRules(), JoinRules(5, 80), JoinRules(frequent_tokens=0, broadcast_ids=0)])
+def test_equal_to_comparing_all(documents, odd_rows, rules):
+    rows = [*odd_rows, *near_copies(1), (900, "A b C d"), (901, "a B c D"), (902, "a b c"), (903, "A B c")]
+    got = similar_classes(documents(rows), rules).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute(rows, rules), key=str)
+
+
+def test_many_copies_of_one_text(documents):
+    rows = [(i, "one text that is there many times over") for i in range(300)]
+    rows += [(1000 + i, f"another text {i}") for i in range(30)]
+    got = similar_classes(documents(rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows, JoinRules()))
+
+
+def test_one_document_of_each_class_stays(documents, odd_rows):
+    rules = JoinRules(5, 80)
+    rows = [*odd_rows, *((i + 10_000, text) for i, text in near_copies(2))]
+    docs = documents(rows)
+    kept = drop_similar(docs, rules)
+    assert kept.schema == docs.schema
+    got = Counter(row.doc_id for row in kept.collect())
+    want = {c for i, _, c in brute(rows, rules) if i is not None}
+    assert set(got) - {None} == want and got[None] == 2
+    assert all(count == 1 for doc_id, count in got.items() if doc_id is not None)
+
+
+@given(st.lists(st.tuples(st.integers(1, 400), st.integers(1, 400), st.integers(0, 400)), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_least_common(sizes):
+    rules = JoinRules()
+    for a, b, common in sizes:
+        if common <= min(a, b):
+            assert rules.linked(common, a, b) == (common >= rules.pair_common(a, b))
+            if rules.linked(common, a, b):
+                assert common >= max(rules.least_common(a), rules.least_common(b))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)]
+    links += [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 260)] + [(7, 7)]
+    label = {x: x for link in links for x in link}
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert {r.node: r.component for r in got} == {x: label[x] for x in linked}
+
+
+def test_empty(documents, spark):
+    assert similar_classes(documents([])).count() == 0
+    assert drop_similar(documents([])).count() == 0
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -340,7 +340,8 @@ def drop_similar(
     docs: DataFrame, rules: JoinRules | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The same table with one document of each class left: the one with the smallest
-    id, and one row of it where its id is repeated. A row without an id stays."""
+    id, and one row of it where its id is repeated. An id names one document: rows with
+    the id of a document that goes all go. A row without an id stays."""
     rules = rules or JoinRules()
     key = F.col(id_col).cast("long")
     classes, _ = materialize(similar_classes(docs, rules, id_col, text_col), "ngram-classes")
