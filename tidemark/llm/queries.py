@@ -11,6 +11,7 @@ from tidemark.llm.fertility import measure_quality
 from tidemark.llm.licence_scan import scan_licences
 from tidemark.llm.log_bilinear import score_documents
 from tidemark.llm.ngram_join import similar_classes
+from tidemark.llm.oracle import ORACLE_SQL  # noqa: F401
 from tidemark.llm.robust_graph import link_embeddings
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
 from tidemark.llm.sharding import shard_documents
@@ -20,7 +21,6 @@ from tidemark.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 # Vocabularies, by file name in the folder of public tokenizers.
 PIECES = "piece_bpe_32k.model"
