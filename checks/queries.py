@@ -563,6 +563,16 @@ def global_rank_hot_value(spark, sf_dir):
     return global_rank(lines, "value", "rank", single_task_rows=0, rows_per_slice=20_000)
 
 
+@query
+def global_rank_large_ints(spark, sf_dir):
+    """Whole numbers beyond 2^53, which doubles cannot tell apart."""
+    lines = fixture.given(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        (F.lit(2**53).cast("bigint") + F.col("l_orderkey") % 97).alias("value"),
+    )
+    return global_rank(lines, "value", "rank", single_task_rows=0, rows_per_slice=5_000)
+
+
 # --- ordered reads and serving ----------------------------------------------
 
 

@@ -28,7 +28,7 @@ def test_running_twice_gives_the_same_tables(spark, lake):
     first = batch.run_batch(spark, lake, as_of=NOON, send=lambda name, df: df.count())
     before = contents()
     # The other way to remove copies, as a large table would take it.
-    second = batch.run_batch(spark, lake, as_of=NOON, few_copies_bytes=0)
+    second = batch.run_batch(spark, lake, as_of=NOON)
     assert contents() == before
     assert (first.rows, first.checks) == (second.rows, second.checks)
     assert first.rows["silver"] == 953
@@ -47,7 +47,7 @@ def test_running_twice_gives_the_same_tables(spark, lake):
 def test_a_run_leaves_no_scratch_tables(spark, lake):
     folder = Path(scratch.scratch_folder(spark))
     before = set(folder.iterdir())
-    batch.run_batch(spark, lake, few_copies_bytes=0)
+    batch.run_batch(spark, lake)
     assert set(folder.iterdir()) == before
 
 

@@ -77,7 +77,7 @@ def test_groups_are_reduced_before_every_shuffle(spark, lake):
     for df, shuffles in [
         (hashtags.hashtag_totals(silver), 1),
         (hours.hourly_trends(silver), 1),
-        (users.user_totals(silver), 2),
+        (users.user_totals(silver), 3),
         (hashtags.windowed_mentions(lake.bronze(spark)), 1),
     ]:
         text = plan(df)
@@ -87,6 +87,15 @@ def test_groups_are_reduced_before_every_shuffle(spark, lake):
         assert len(re.findall(r"functions=\[partial_", text)) == shuffles
 
 
+def test_silver_is_not_sorted_for_users(spark, lake):
+    silver = lake.silver(spark)
+    for df in (users.user_totals(silver), users.primary_location(silver)):
+        text = plan(df)
+        first = text[text.rindex("Exchange hashpartitioning") :]
+        assert "HashAggregate" in first and "FileScan" in first
+        assert "Sort" not in first
+
+
 def test_only_the_slice_sizes_meet_in_one_task(spark):
     rows = spark.range(5000).select("id", (F.col("id") % 700).alias("v"))
     text = plan(ranking.global_rank(rows, "v", "r", single_task_rows=0, rows_per_slice=500))

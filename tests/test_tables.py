@@ -1,12 +1,18 @@
 import os
+import subprocess
+import sys
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
-from tidemark.sources import relational, scratch
+from tidemark.sources import relational, scratch, tables
 from tidemark.sources.tables import overwrite_table, read_table, table_bytes
 
+_ROOT = Path(__file__).resolve().parent.parent
+
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc"])
 def test_overwrite_replaces_rows_and_schema(spark, tmp_path, fmt):
@@ -35,6 +41,94 @@ def test_failed_overwrite_leaves_the_old_rows(spark, tmp_path):
     assert values(read_table(spark, path)) == [(0,), (1,), (2,)]
 
 
+def versions(path):
+    return sorted(d for d in os.listdir(path) if d.startswith("version-"))
+
+
+def test_a_failed_overwrite_leaves_no_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    failing = spark.range(3).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(failing, path)
+    assert not os.path.exists(path) or versions(path) == []
+    overwrite_table(spark.range(3), path)
+    kept = versions(path)
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(failing, path)
+    assert versions(path) == kept
+
+
+@pytest.mark.parametrize("content", [None, ""])
+def test_a_lost_pointer_is_loud(spark, tmp_path, monkeypatch, content):
+    monkeypatch.setattr(tables, "_POINTER_WAIT_SECONDS", 0)
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(3), path)
+    overwrite_table(spark.range(4), path)
+    pointer = tmp_path / "t" / "_current"
+    names = pointer.read_text()
+    pointer.unlink()
+    (tmp_path / "t" / "._current.crc").unlink(missing_ok=True)
+    if content is not None:
+        pointer.write_text(content)
+    for use in (
+        lambda: read_table(spark, path),
+        lambda: table_bytes(spark, path),
+        lambda: overwrite_table(spark.range(5), path),
+    ):
+        with pytest.raises(tables.LostPointer, match="_current"):
+            use()
+    pointer.write_text(names)
+    assert read_table(spark, path).count() == 4
+
+
+def test_of_two_writers_the_last_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(1), path)
+    plain = tables.write_counted
+
+    def with_another_run(df, write):
+        rows = plain(df, write)
+        monkeypatch.setattr(tables, "write_counted", plain)
+        overwrite_table(spark.range(7), path)
+        return rows
+
+    monkeypatch.setattr(tables, "write_counted", with_another_run)
+    with pytest.raises(tables.ConcurrentOverwrite):
+        overwrite_table(spark.range(3), path)
+    assert read_table(spark, path).count() == 7 and len(versions(path)) == 2
+
+
+def test_what_dead_runs_left_is_swept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(1), path)
+    for name, days in (("version-old", 30), ("version-running", 0)):
+        (tmp_path / "t" / name).mkdir()
+        then = time.time() - days * 86_400
+        os.utime(tmp_path / "t" / name, (then, then))
+    overwrite_table(spark.range(2), path)
+    assert "version-old" not in versions(path) and "version-running" in versions(path)
+
+
+_SCRIPT = """
+import sys
+from tidemark.operators.ranking import global_rank
+from tidemark.session import open_session
+spark = open_session("t", spark__master="local[1]", spark__ui__enabled="false",
+    spark__checkpoint__dir=sys.argv[1])
+global_rank(spark.range(50), "id", "rank").count()
+import os
+assert os.listdir(sys.argv[1])
+spark.stop()
+"""
+
+
+def test_nothing_stays_in_the_shared_folder(tmp_path):
+    run = subprocess.run([sys.executable, "-c", _SCRIPT, str(tmp_path)], cwd=_ROOT, timeout=200)
+    assert run.returncode == 0
+    # What remains is the empty folder that the session itself makes for checkpoints.
+    assert [d for d in os.listdir(tmp_path) if d.startswith("tidemark-")] == []
+
+
 def test_a_table_can_be_overwritten_from_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     overwrite_table(spark.range(4), path)
@@ -73,16 +167,17 @@ def test_scratch_uses_the_shared_folder(spark, tmp_path, monkeypatch):
             return f"{tmp_path}/shared/"
 
     class Session:
-        conf, sparkContext = Conf(), spark.sparkContext
+        conf, sparkContext, _jvm, _jsc = Conf(), spark.sparkContext, spark._jvm, spark._jsc
 
     path = scratch.scratch_path(Session(), "x")
     assert path.startswith(f"{tmp_path}/shared/tidemark-{spark.sparkContext.applicationId}/x-")
     assert "spark.checkpoint.dir" in asked
 
 
-def test_a_cluster_without_a_shared_folder_is_refused(spark):
+@pytest.mark.parametrize("given", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_a_cluster_without_a_shared_folder_is_refused(given):
     class Context:
-        master, applicationId = "spark://host:7077", "app"
+        master, applicationId = given, "app"
 
     class Conf:
         def get(self, key, default=None):

@@ -38,14 +38,15 @@ def keep_latest_of_few_copies(
     newest_first: Sequence[str],
     broadcast_keys: int = 5_000_000,
 ) -> DataFrame:
-    """The same rows as `keep_latest`, for large tables with few repeated keys.
-
-    A first pass reads only the key columns, shuffles eight bytes per key and
-    stores the hashes that occur twice or more. Rows with any other hash are
-    alone and pass without a shuffle; only the rest goes through the window.
-    Unequal keys with one hash merely take the window path. With more repeated
-    hashes than `broadcast_keys` (a few hundred MB in each executor) the plain
-    window is used.
+    """The same rows as `keep_latest`, for tables of which the caller knows that hardly
+    any key repeats: copies in about one of a hundred thousand rows or fewer.
+
+    A first pass reads only the key columns, shuffles eight bytes per key and stores the
+    hashes that occur twice or more. Rows with any other hash are alone and pass; only
+    the rest goes through the window. Unequal keys with one hash merely take the window
+    path. The stored hashes are broadcast while at most `broadcast_keys`, and joined by
+    a shuffle beyond. This runs a job and reads `df` three times, so `df` has to be of one
+    snapshot: a table format with versions must be read at a fixed one.
     """
     hashed = df.withColumn(_KEY_HASH, F.xxhash64(*keys))
     repeated, count = materialize(
@@ -54,9 +55,7 @@ def keep_latest_of_few_copies(
         .select(_KEY_HASH),
         "repeated-keys",
     )
-    if count > broadcast_keys:
-        return keep_latest(df, keys, newest_first)
-    listed = F.broadcast(repeated)
+    listed = F.broadcast(repeated) if count <= broadcast_keys else repeated.hint("merge")
     alone = hashed.join(listed, _KEY_HASH, "left_anti").drop(_KEY_HASH)
     copies = hashed.join(listed, _KEY_HASH, "left_semi").drop(_KEY_HASH)
     return alone.unionByName(keep_latest(copies, keys, newest_first))

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import materialize
 
+# Up to so many rows one window is faster; the result is the same.
 SINGLE_TASK_ROWS = 200_000
 ROWS_PER_SLICE = 500_000
 # Slices grow beyond this, so that their sizes stay a small table.
 MAX_SLICES = 5_000
+# Values looked at for each slice when the cuts are chosen.
+_SAMPLED_PER_SLICE = 20
 
 
 def global_rank(
@@ -21,60 +24,61 @@ def global_rank(
     into: str,
     single_task_rows: int = SINGLE_TASK_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
+    max_slices: int = MAX_SLICES,
 ) -> DataFrame:
     """Add `into`: rank by `by`, highest first, ties equal, gaps after ties, NULLs last.
 
-    The input is stored once and its rows are counted on the way. A table of at
-    most `single_task_rows` rows is ranked by one ordinary window. A larger one
-    is cut into slices of the value range that are ranked in parallel. Values
-    are compared as doubles there, so counts must stay below 2^53.
+    Any type that Spark sorts can be ranked, and values are compared as they are. This
+    runs jobs: the input is stored once and its rows are counted on the way. A table of
+    at most `single_task_rows` rows is then ranked by one ordinary window; a larger one
+    is cut into slices of the value range that are ranked in parallel, with the same
+    result. Ranks are ints, so a table has less than 2^31 rows.
     """
     stored, rows = materialize(df, "unranked")
     if rows <= single_task_rows:
         return stored.withColumn(into, F.rank().over(Window.orderBy(F.desc_nulls_last(by))))
-    slices = min(max(2, math.ceil(rows / rows_per_slice)), MAX_SLICES)
-    return _rank_by_slices(stored, by, into, slices)
+    slices = min(max(2, math.ceil(rows / rows_per_slice)), max_slices)
+    return _rank_by_slices(stored, by, into, slices, _cuts(stored, by, rows, slices))
 
 
-def _rank_by_slices(stored: DataFrame, by: str, into: str, slices: int) -> DataFrame:
+def _rank_by_slices(
+    stored: DataFrame, by: str, into: str, slices: int, cuts: list
+) -> DataFrame:
     """Rank within value slices, plus the number of rows in all higher slices.
 
-    The cuts are quantiles, so a value with more rows than a slice should hold
-    is itself a cut. Rows equal to a cut form their own slice, need no sorting
-    and are spread over `slices` groups by a hash: within each the rank is 1.
-    What lies between two cuts holds about rows / slices rows at most.
+    A value with more rows than a slice should hold is itself a cut. Rows equal to a cut
+    form their own slice, need no sorting and are spread over `slices` groups by a hash:
+    within each the rank is 1. What lies between two cuts holds about rows / slices rows.
     """
-    # Adding zero turns -0.0, equal to 0.0 but sorted apart by Bucketizer, into 0.0.
-    value = F.col(by).cast("double") + F.lit(0.0)
-    cuts = _cuts(stored, value, slices)
-    placed = _bucketed(stored.withColumn("__value", value), cuts)
-
+    value = F.col(by)
+    kind = stored.schema[by].dataType.simpleString()
+    starts = F.array(*[F.lit(cut) for cut in cuts]).cast(f"array<{kind}>")
+    bucket = _cuts_up_to(starts, len(cuts), value)
+    placed = stored.withColumn("__bucket", bucket)
     # Bucket b starts at cut b - 1, counted from 0; `get` is NULL outside the array.
-    starts = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
-    start = F.get(starts, F.col("__bucket").cast("int") - 1)
-    at_cut = F.coalesce(start == F.col("__value"), F.lit(False))
-    missing = F.col("__value").isNull()
+    at_cut = F.coalesce(F.get(starts, F.col("__bucket") - 1) == value, F.lit(False))
+    missing = value.isNull()
     placed = placed.withColumns(
         {
             # Higher slot, higher value: 2b for the cut itself, 2b+1 for what is above it.
             "__slot": F.when(missing, F.lit(-1)).otherwise(
-                (F.col("__bucket") * 2).cast("int") + F.when(at_cut, 0).otherwise(1)
+                F.col("__bucket") * 2 + F.when(at_cut, 0).otherwise(1)
             ),
             "__spread": F.when(
                 missing | at_cut,
-                F.pmod(F.xxhash64(*[F.col(c) for c in stored.columns]), F.lit(slices)),
+                F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(slices)),
             ).otherwise(F.lit(0)),
         }
     )
 
-    # At most 2 * slices + 2 rows from here on.
+    # A row per slot: at most twice the cuts and two from here on.
     sizes = placed.groupBy("__slot").agg(F.count(F.lit(1)).alias("__rows"))
     above = Window.orderBy(F.desc("__slot")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "__slot", F.coalesce(F.sum("__rows").over(above), F.lit(0)).alias("__above")
     )
 
-    inside = Window.partitionBy("__slot", "__spread").orderBy(F.desc_nulls_last("__value"))
+    inside = Window.partitionBy("__slot", "__spread").orderBy(F.desc_nulls_last(by))
     return (
         placed.withColumn("__inside", F.rank().over(inside))
         .join(F.broadcast(offsets), "__slot")
@@ -85,22 +89,41 @@ def _rank_by_slices(stored: DataFrame, by: str, into: str, slices: int) -> DataF
     )
 
 
-def _cuts(stored: DataFrame, value: Column, slices: int) -> list[float]:
-    """At most slices - 1 distinct quantiles, ascending."""
-    steps = [i / slices for i in range(1, slices)]
-    accuracy = max(10_000, 4 * slices)
-    found = stored.agg(F.percentile_approx(value, steps, accuracy).alias("cuts")).first()["cuts"]
-    return sorted({c for c in found or [] if math.isfinite(c)})
-
+def _cuts(stored: DataFrame, by: str, rows: int, slices: int) -> list:
+    """Ascending distinct values that divide a sample of bounded size evenly.
 
-def _bucketed(df: DataFrame, cuts: list[float]) -> DataFrame:
-    """Add `__bucket`: how many cuts are at or below the value (NaN sorts highest)."""
-    # Needed for large tables only, and slow to import.
-    from pyspark.ml.feature import Bucketizer
+    A value that alone fills half a step is a cut. The cuts only set the size of the
+    slices; ranks are exact for any cuts.
+    """
+    steps = 1 << 30
+    share = min(1.0, _SAMPLED_PER_SLICE * slices / rows)
+    chosen = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(steps)) <= int(share * steps)
+    sampled = stored.where(F.col(by).isNotNull() & chosen).groupBy(by).agg(
+        F.count(F.lit(1)).alias("__rows")
+    )
+    counts = sampled.orderBy(by).collect()
+    step = max(1.0, sum(row["__rows"] for row in counts) / slices)
+    cuts, held = [], 0
+    for row in counts:
+        held += row["__rows"]
+        if held >= step or 2 * row["__rows"] >= step:
+            cuts.append(row[by])
+            held = 0
+    return cuts
+
+
+def _cuts_up_to(cuts: Column, count: int, value: Column) -> Column:
+    """How many of the ascending cuts are at or below the value: a binary search."""
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        at_or_below = F.get(cuts, middle) <= value
+        narrowed = F.struct(
+            F.when(at_or_below, middle + 1).otherwise(span["low"]).alias("low"),
+            F.when(at_or_below, span["high"]).otherwise(middle).alias("high"),
+        )
+        return F.when(span["low"] < span["high"], narrowed).otherwise(span)
 
-    if not cuts:
-        return df.withColumn("__bucket", F.when(F.col("__value").isNotNull(), F.lit(0.0)))
-    edges = [-math.inf, *cuts, math.inf]
-    return Bucketizer(
-        splits=edges, inputCol="__value", outputCol="__bucket", handleInvalid="keep"
-    ).transform(df)
+    whole = F.struct(F.lit(0).alias("low"), F.lit(count).alias("high"))
+    turns = F.sequence(F.lit(1), F.lit(max(1, count.bit_length())))
+    return F.aggregate(turns, whole, halve)["low"]

@@ -52,6 +52,7 @@ def leaderboard_filtered(
 
 def leaderboard(filtered_users: DataFrame) -> DataFrame:
     """Display columns of the filtered users under their display names."""
+    # The titles that are shown.
     titles = {
         "user_rank": "Rank",
         "username": "Username",

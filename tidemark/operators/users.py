@@ -38,31 +38,47 @@ def devices_used(silver: DataFrame) -> DataFrame:
     return silver.groupBy(*USER).agg(F.countDistinct("device").alias("devices_used"))
 
 
-def earliest_location() -> Column:
-    """Location of the earliest event, NULL if that one has none.
+def _earliest() -> Column:
+    """The earliest time; a missing one comes before all."""
+    missing = F.count_if(F.col("timestamp").isNull()) > 0
+    return F.when(~missing, F.min("timestamp"))
 
-    Among events of one instant the alphabetically first location counts, NULL
-    before all; no id has to be read to settle it.
-    """
-    return F.min(F.struct("timestamp", "location")).getField("location")
+
+def _earliest_of_location() -> Column:
+    """Over rows per location: the smallest (time, location)."""
+    return F.min(F.struct("first_seen", "location"))
 
 
 def primary_location(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(*USER).agg(earliest_location().alias("primary_location"))
+    """Location of the earliest event, NULL if that one has none.
+
+    Among events of one instant the alphabetically first location counts, NULL before
+    all; no id has to be read to settle it. Rows are reduced per location by hashing
+    first: the smallest pair of time and location is only sought among those.
+    """
+    per_location = silver.groupBy(*USER, "location").agg(_earliest().alias("first_seen"))
+    return per_location.groupBy(*USER).agg(
+        _earliest_of_location().getField("location").alias("primary_location")
+    )
 
 
 def user_totals(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> DataFrame:
     """All measures of every user.
 
-    Grouped by user and device first: the second grouping then counts devices
-    without a distinct aggregate, and a very active user reaches it as a few
-    rows. Both groupings are reduced in every task before the shuffle.
+    Grouped by user, device and location first, by hashing and without a sort; what
+    follows works on those rows. The grouping by user and device then counts devices
+    without a distinct aggregate. A very active user reaches every shuffle as a few rows
+    from each task.
     """
     counts = {"total_events": F.count(F.lit(1)), **type_counts(rules)}
-    per_device = silver.groupBy(*USER, "device").agg(
+    per_location = silver.groupBy(*USER, "device", "location").agg(
         *[count.alias(name) for name, count in counts.items()],
         F.sum("engagement_score").alias("score"),
-        F.min(F.struct("timestamp", "location")).alias("earliest"),
+        _earliest().alias("first_seen"),
+    )
+    sums = [F.sum(name).alias(name) for name in (*counts, "score")]
+    per_device = per_location.groupBy(*USER, "device").agg(
+        *sums, _earliest_of_location().alias("earliest")
     )
     score, events = F.sum("score"), F.sum("total_events")
     totals = per_device.groupBy(*USER).agg(

@@ -22,9 +22,6 @@ from tidemark.session import pin_utc, sized_for
 from tidemark.sources.scratch import scratch_scope
 from tidemark.sources.tables import overwrite_table, table_bytes
 
-# From here on, reading the keys first is cheaper than shuffling every row.
-FEW_COPIES_BYTES = 64 << 30
-
 # Copies a table to another store and returns the rows sent.
 Send = Callable[[str, DataFrame], int]
 
@@ -55,13 +52,11 @@ def build_silver(
     lake: Lake,
     rules: EngagementRules = DEFAULT_RULES,
     as_of: datetime | None = None,
-    few_copies_bytes: int = FEW_COPIES_BYTES,
 ) -> dict[str, int]:
     """All of bronze to silver, partitioned by type; rows written."""
     stored = table_bytes(spark, lake.bronze_path, lake.fmt)
     with sized_for(pin_utc(spark), stored), scratch_scope(spark):
-        few_copies = stored >= few_copies_bytes
-        silver = silver_events(lake.bronze(spark), rules, as_of, few_copies)
+        silver = silver_events(lake.bronze(spark), rules, as_of)
         rows = overwrite_table(silver, lake.silver_path, ["event_type"], lake.fmt)
     return {"silver": rows}
 
@@ -119,7 +114,6 @@ def run_batch(
     rules: EngagementRules = DEFAULT_RULES,
     as_of: datetime | None = None,
     send: Send | None = None,
-    few_copies_bytes: int = FEW_COPIES_BYTES,
 ) -> BatchReport:
     """One full refresh from bronze; stops at the first failure.
 
@@ -127,7 +121,7 @@ def run_batch(
     is cached. Tables are sent once their checks have passed.
     """
     report = BatchReport()
-    report.rows.update(build_silver(spark, lake, rules, as_of, few_copies_bytes))
+    report.rows.update(build_silver(spark, lake, rules, as_of))
     report.rows.update(build_gold(spark, lake, rules, as_of))
     report.rows.update(build_mart(spark, lake, rules))
     report.checks = run_checks(spark, lake, rules)

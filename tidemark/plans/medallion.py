@@ -1,4 +1,4 @@
-"""Bronze to silver to gold to mart, as lazy compositions."""
+"""Bronze to silver to gold to mart, as compositions. Those that rank run jobs when they are called."""
 
 from __future__ import annotations
 
@@ -16,7 +16,8 @@ EVENT_ORDER = ("ingested_at", "likes")
 
 
 def latest_events(bronze: DataFrame, few_copies: bool = False) -> DataFrame:
-    """The newest copy of every event, valid or not."""
+    """The newest copy of every event, valid or not. `few_copies` is the caller's choice
+    for a table that hardly repeats a key; its rows must come from one snapshot."""
     newest = keep_latest_of_few_copies if few_copies else keep_latest
     return newest(bronze, EVENT_KEY, EVENT_ORDER)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -13,11 +14,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own_folders: dict[str, str] = {}
+_marked_folders: set[str] = set()
 _scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """This application's part of the shared folder.
+    """This application's part of the shared folder; it goes when the driver ends.
 
     Where the setting is absent, a local session gets a temporary folder that is
     removed at exit. A cluster session without it is refused, as executors do
@@ -26,8 +28,12 @@ def scratch_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/tidemark-{app}"
-    if not spark.sparkContext.master.startswith("local"):
+        folder = f"{shared.rstrip('/')}/tidemark-{app}"
+        if folder not in _marked_folders:
+            _delete_at_exit(spark, folder)
+            _marked_folders.add(folder)
+        return folder
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     if app not in _own_folders:
         folder = tempfile.mkdtemp(prefix="tidemark-")
@@ -77,6 +83,13 @@ def write_counted(df: DataFrame, write) -> int:
     return seen.get["rows"]
 
 
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Let the file system delete the folder when the driver's JVM ends."""
+    target, files = hadoop_path(spark, folder)
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     target, files = hadoop_path(spark, path)
     files.delete(target, True)
