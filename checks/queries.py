@@ -173,6 +173,24 @@ def stream_bronze_counts(spark, sf_dir):
     )
 
 
+def _flat_events(stored):
+    """Stored events without the run's own time, as `parse_json` has them."""
+    flat = stored.withColumn("hashtags", F.array_join("hashtags", "|")).drop("ingested_at")
+    return plain_times(flat, "timestamp")
+
+
+@query
+@streaming
+def stream_bronze(spark, sf_dir):
+    """Every streamed event, column by column."""
+    folder = scratch_path(spark, "stream-bronze-rows")
+    events = parse_events(fixture.message_stream(spark, sf_dir))
+    runner.finish(
+        ingest.write_bronze(events, f"{folder}/bronze", f"{folder}/checkpoint", bounded=True)
+    )
+    return _flat_events(read_table(spark, f"{folder}/bronze", schema=schemas.BRONZE))
+
+
 @query
 @streaming
 def restart(spark, sf_dir):
@@ -183,11 +201,7 @@ def restart(spark, sf_dir):
         runner.finish(
             ingest.write_bronze(events, f"{folder}/bronze", f"{folder}/checkpoint", bounded=True)
         )
-    stored = read_table(spark, f"{folder}/bronze", schema=schemas.BRONZE)
-    return stored.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.countDistinct("event_id").alias("ids"),
-    )
+    return _flat_events(read_table(spark, f"{folder}/bronze", schema=schemas.BRONZE))
 
 
 def _rounded_trends(df):
@@ -760,7 +774,7 @@ def run_batch(spark, sf_dir):
 
 @query
 def publish_all(spark, sf_dir):
-    """Rows behind every served name, published anew after a run."""
+    """Rows behind every served name, published anew after a run, in a session of its own."""
     lake, _ = _lake(spark, sf_dir, "publish")
     run_medallion(spark, lake)
     publish.withdraw(spark)
@@ -770,3 +784,11 @@ def publish_all(spark, sf_dir):
         for name in publish.NAMES
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+@query
+def served_users(spark, sf_dir):
+    """The staged user view of a whole run, row by row, through its served name."""
+    lake, _ = _lake(spark, sf_dir, "served")
+    run_medallion(spark, lake)
+    return untimed(spark.table("stg_user_engagement"))

@@ -27,7 +27,6 @@ def test_running_twice_gives_the_same_tables(spark, lake):
     contents = lambda: {t: values(lake.gold(spark, t)) for t in TABLES}
     first = batch.run_batch(spark, lake, as_of=NOON, send=lambda name, df: df.count())
     before = contents()
-    # The other way to remove copies, as a large table would take it.
     second = batch.run_batch(spark, lake, as_of=NOON)
     assert contents() == before
     assert (first.rows, first.checks) == (second.rows, second.checks)
@@ -75,3 +74,24 @@ def test_silver_is_partitioned_by_clean_type(spark, lake):
     files = lake.silver(spark).inputFiles()
     folders = {f.split("event_type=")[1].split("/")[0] for f in files}
     assert folders == {"post", "like", "share", "comment", "repost"}
+
+
+def test_served_names_outlive_the_session(spark, tmp_path):
+    """A second session reads what the first has served, and a later run replaces it."""
+    lake = Lake(str(tmp_path / "lake"))
+    overwrite_table(fixture.bronze(spark, "/root/testdata/sf0.001"), lake.bronze_path, ["event_type"])
+    first = spark.newSession()
+    batch.run_batch(first, lake, as_of=NOON)
+    second = spark.newSession()
+    assert all(second.table(name).count() > 0 for name in publish.NAMES)
+    assert not any(t.isTemporary for t in second.catalog.listTables() if t.name in publish.NAMES)
+    # A changed schema in place of the old one, its dependents gone and back.
+    changed = lake.gold(spark, "top_hashtags").limit(3)
+    overwrite_table(changed, lake.gold_path("top_hashtags"))
+    publish.publish_all(spark.newSession(), lake)
+    # A session that has read a name before goes on with the version it knows, which is kept.
+    assert second.table("raw_top_hashtags").count() == 18
+    third = spark.newSession()
+    assert third.table("stg_top_hashtags").count() == 3
+    publish.withdraw(spark)
+    assert not {t.name for t in third.catalog.listTables()} & set(publish.NAMES)

@@ -50,6 +50,29 @@ def test_whole_batch(run):
     assert report["sent"] == {}
 
 
+def test_ingest_passes_its_options(run, monkeypatch):
+    given = {}
+    monkeypatch.setattr(jobs, "read_event_stream", lambda spark, options: given.update(options))
+    monkeypatch.setattr(jobs, "run_ingest", lambda stream, lake, **more: given.update(more))
+    run(
+        "ingest", "--servers", "h:9092", "--topic", "t", "--rate", "500", "--interval", "1 minute",
+        "--state-partitions", "64", "--source-option", "kafka.security.protocol=SASL_SSL",
+        "--source-option", "kafka.sasl.jaas.config=a=b",
+    )
+    assert given == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "latest",
+        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "500",
+        "kafka.security.protocol": "SASL_SSL", "kafka.sasl.jaas.config": "a=b",
+        "interval": "1 minute", "state_partitions": 64,
+    }
+
+
+@pytest.mark.parametrize("more", [[], ["--servers", "h:1"], ["--servers", "h:1", "--topic", "t", "--source-option", "x"]])
+def test_ingest_without_a_source_is_refused(run, more):
+    with pytest.raises(SystemExit):
+        run("ingest", *more)
+
+
 def test_sending_needs_a_store(run):
     with pytest.raises(SystemExit, match="--jdbc-url"):
         run("send")

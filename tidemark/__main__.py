@@ -31,9 +31,30 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--format", default="parquet", choices=["parquet", "delta"])
     parser.add_argument("--servers", help="ingest: Kafka bootstrap servers")
     parser.add_argument("--topic", help="ingest: Kafka topic")
+    parser.add_argument(
+        "--rate", type=int, help="ingest: messages a batch takes at most, so that a backlog is cut up"
+    )
+    parser.add_argument("--interval", help="ingest: time between batches, as in '1 minute'")
+    parser.add_argument("--state-partitions", type=int, help="ingest: of the trend windows")
+    parser.add_argument(
+        "--source-option", action="append", default=[], metavar="NAME=VALUE",
+        help="ingest: any other option of the source (security, minPartitions, ...); repeatable",
+    )
     parser.add_argument("--jdbc-url", help="send, batch: relational store")
     parser.add_argument("--jdbc-properties", help="JSON file with user, password, driver, ...")
-    return parser.parse_args()
+    arguments = parser.parse_args()
+    if arguments.job == "ingest" and not (arguments.servers and arguments.topic):
+        parser.error("ingest needs --servers and --topic")
+    if not all("=" in option for option in arguments.source_option):
+        parser.error("--source-option takes NAME=VALUE")
+    return arguments
+
+
+def _source_options(arguments: argparse.Namespace) -> dict[str, str]:
+    more = dict(option.split("=", 1) for option in arguments.source_option)
+    if arguments.rate:
+        more["maxOffsetsPerTrigger"] = str(arguments.rate)
+    return kafka_options(arguments.servers, arguments.topic, **more)
 
 
 def _sender(arguments: argparse.Namespace) -> batch.Send | None:
@@ -61,8 +82,12 @@ def main() -> None:
     send = _sender(arguments)
     match arguments.job:
         case "ingest":
-            options = kafka_options(arguments.servers, arguments.topic)
-            run_ingest(read_event_stream(spark, options=options), lake)
+            run_ingest(
+                read_event_stream(spark, options=_source_options(arguments)),
+                lake,
+                interval=arguments.interval,
+                state_partitions=arguments.state_partitions,
+            )
         case "batch":
             report = batch.run_batch(spark, lake, send=send)
             print(json.dumps({"written": report.rows, "sent": report.sent}))

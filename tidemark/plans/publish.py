@@ -1,26 +1,37 @@
-"""The names under which tables are served, and the views that depend on them."""
+"""The names under which tables are served, and the views that depend on them.
+
+Names stand in the session's catalog: raw_* and the mart are tables over the current
+versions, stg_* are views over them. With a metastore they outlive the application;
+without one, they outlive the session and end with the application. A session that has
+read a name goes on with the version it knows until it refreshes that table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from tidemark import schemas
-from tidemark.operators import marts
 from tidemark.plans.layout import Lake
+from tidemark.sources.tables import current_location
+
+_VIEWS = {"stg_top_hashtags": "top_hashtags", "stg_user_engagement": "user_engagement"}
 
 # Dependents first; the order in which names have to go.
-NAMES = (
-    "mart_trending_topics",
-    "stg_top_hashtags",
-    "stg_user_engagement",
-    *(f"raw_{name}" for name in schemas.GOLD),
-)
+NAMES = ("mart_trending_topics", *_VIEWS, *(f"raw_{name}" for name in schemas.GOLD))
 
 
 def withdraw(spark: SparkSession) -> None:
-    """Drop all served names, dependents first."""
+    """Drop all served names, dependents first. No stored row is deleted."""
     for name in NAMES:
-        spark.catalog.dropTempView(name)
+        spark.sql(f"DROP {'VIEW' if name in _VIEWS else 'TABLE'} IF EXISTS {name}")
+
+
+def _serve(spark: SparkSession, name: str, path: str, fmt: str, schema: StructType) -> None:
+    """A table over the version that is current now."""
+    location = current_location(spark, path, fmt)
+    declared = None if fmt == "delta" else schema
+    spark.catalog.createTable(name, path=location, source=fmt, schema=declared)
 
 
 def publish_gold(spark: SparkSession, lake: Lake) -> None:
@@ -30,16 +41,17 @@ def publish_gold(spark: SparkSession, lake: Lake) -> None:
     never a view over outdated rows. No row is copied; the names read the tables.
     """
     withdraw(spark)
-    for name in schemas.GOLD:
-        lake.gold(spark, name).createOrReplaceTempView(f"raw_{name}")
-    hashtags = marts.stg_top_hashtags(spark.table("raw_top_hashtags"))
-    hashtags.createOrReplaceTempView("stg_top_hashtags")
-    users = marts.stg_user_engagement(spark.table("raw_user_engagement"))
-    users.createOrReplaceTempView("stg_user_engagement")
+    for name, schema in schemas.GOLD.items():
+        _serve(spark, f"raw_{name}", lake.gold_path(name), lake.fmt, schema)
+    for view, name in _VIEWS.items():
+        columns = ", ".join(f"`{column}`" for column in schemas.GOLD[name].names)
+        spark.sql(f"CREATE VIEW {view} AS SELECT {columns} FROM raw_{name}")
 
 
 def publish_mart(spark: SparkSession, lake: Lake) -> None:
-    lake.mart(spark).createOrReplaceTempView("mart_trending_topics")
+    """Serve the mart, in place of an older version of it."""
+    spark.sql("DROP TABLE IF EXISTS mart_trending_topics")
+    _serve(spark, "mart_trending_topics", lake.mart_path, lake.fmt, schemas.MART)
 
 
 def publish_all(spark: SparkSession, lake: Lake) -> None:

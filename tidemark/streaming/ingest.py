@@ -49,10 +49,13 @@ def append_stream(
     partition_by: Sequence[str] = (),
     bounded: bool = False,
     fmt: str = "parquet",
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Start a query that appends to the table at `path`, each row once.
 
-    `bounded` processes what is there now and ends; otherwise it runs on.
+    `bounded` processes what is there now and ends; otherwise it runs on, with a batch
+    every `interval` ("1 minute"), or one after the other: the longer the interval, the
+    fewer and larger the files.
     """
     writer = (
         df.writeStream.format(fmt)
@@ -64,13 +67,20 @@ def append_stream(
         writer = writer.partitionBy(*partition_by)
     if bounded:
         writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
     return writer.start(path)
 
 
 def write_bronze(
-    events: DataFrame, path: str, checkpoint: str, bounded: bool = False, fmt: str = "parquet"
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    bounded: bool = False,
+    fmt: str = "parquet",
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Append every event, valid or not, partitioned by the type as received."""
     return append_stream(
-        events, path, checkpoint, "bronze", ["event_type"], bounded=bounded, fmt=fmt
+        events, path, checkpoint, "bronze", ["event_type"], bounded, fmt, interval
     )

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.plans.layout import Lake
 from tidemark.rules import DEFAULT_RULES, EngagementRules
 from tidemark.schemas import TREND_MESSAGE
+from tidemark.session import SHUFFLE_PARTITIONS
 from tidemark.sources.messages import decode, parse_events, with_instants
 from tidemark.streaming.ingest import write_bronze
 from tidemark.streaming.trends import trending_hashtags, write_trends
@@ -50,21 +51,31 @@ def run_ingest(
     lake: Lake,
     rules: EngagementRules = DEFAULT_RULES,
     bounded: bool = False,
+    interval: str | None = None,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Bronze and trend queries on one message stream, each with its checkpoint.
 
     Every query reads the source for itself, so the trend query decodes only the
-    fields it uses.
+    fields it uses. `state_partitions` is that of the trend query; a checkpoint keeps
+    the number it was begun with.
     """
     events = parse_events(messages)
     trends = trending_hashtags(with_instants(decode(messages, TREND_MESSAGE)), rules)
 
     def bronze_query() -> StreamingQuery:
         checkpoint = lake.checkpoint("bronze")
-        return write_bronze(events, lake.bronze_path, checkpoint, bounded, lake.fmt)
+        return write_bronze(events, lake.bronze_path, checkpoint, bounded, lake.fmt, interval)
 
     def trend_query() -> StreamingQuery:
         checkpoint = lake.checkpoint("trends")
-        return write_trends(trends, lake.trends_path, checkpoint, bounded, lake.fmt)
+        return write_trends(trends, lake.trends_path, checkpoint, bounded, lake.fmt, interval)
 
-    return run_streams(messages.sparkSession, [bronze_query, trend_query], bounded)
+    spark = messages.sparkSession
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    if state_partitions:
+        spark.conf.set(SHUFFLE_PARTITIONS, str(state_partitions))
+    try:
+        return run_streams(spark, [bronze_query, trend_query], bounded)
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)

@@ -20,6 +20,11 @@ def trending_hashtags(events: DataFrame, rules: EngagementRules = DEFAULT_RULES)
 
 
 def write_trends(
-    trends: DataFrame, path: str, checkpoint: str, bounded: bool = False, fmt: str = "parquet"
+    trends: DataFrame,
+    path: str,
+    checkpoint: str,
+    bounded: bool = False,
+    fmt: str = "parquet",
+    interval: str | None = None,
 ) -> StreamingQuery:
-    return append_stream(trends, path, checkpoint, "trends", bounded=bounded, fmt=fmt)
+    return append_stream(trends, path, checkpoint, "trends", (), bounded, fmt, interval)
