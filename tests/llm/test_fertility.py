@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from conftest import prose
+from tests.llm.conftest import prose
 
 from tidemark.llm.fertility import keep_good, measure_quality, repeated_words
 

@@ -2,8 +2,8 @@ import re
 from collections import defaultdict
 
 import pytest
-from test_fertility import brute as base_measures
-from test_ngram_join import brute as classes
+from tests.llm.test_fertility import brute as base_measures
+from tests.llm.test_ngram_join import brute as classes
 from tokenizers import Tokenizer
 
 import corpus_pipeline

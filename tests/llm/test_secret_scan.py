@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import prose
+from tests.llm.conftest import prose
 
 from tidemark.llm.secret_scan import BASE_RULES, RULES, masked, redact_secrets, scan_secrets, secret_digest
 from tidemark.llm.trigrams import trigram_query, trigrams_of

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import prose
+from tests.llm.conftest import prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

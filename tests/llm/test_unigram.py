@@ -3,7 +3,7 @@ import zlib
 from array import array
 
 import pytest
-from conftest import prose
+from tests.llm.conftest import prose
 
 from tidemark.llm.unigram import (
     MARKER,
