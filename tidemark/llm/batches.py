@@ -16,9 +16,20 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def documents_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    """Ids and UTF-8 texts batch by batch; a null text is an empty one."""
+# Rows whose texts a task holds as Python objects at once.
+ROWS_AT_ONCE = 512
+
+
+def in_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are held twice."""
     for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
+def documents_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and UTF-8 texts part by part; a null text is an empty one."""
+    for batch in in_parts(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         yield batch.column("doc_id").to_pylist(), [text or b"" for text in texts]
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.batches import documents_of, id_and_text, in_batches
+from tidemark.llm.batches import documents_of, id_and_text, in_batches, in_parts
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -68,7 +68,7 @@ class Fertility:
     bounded: at `most_kept` words all of it is dropped.
     """
 
-    most_kept = 300_000
+    most_kept = 200_000
 
     def __init__(self, model: bytes):
         import sentencepiece
@@ -270,7 +270,7 @@ def keep_good(docs: DataFrame, model_path: str, rules: FertilityRules | None = N
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fertility = Fertility(model.value)
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             kept = [judge(text or b"", fertility, rules)[6] for text in texts]
             yield batch.filter(pa.array(kept, pa.bool_()))

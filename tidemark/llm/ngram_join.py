@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import documents_of, id_and_text, in_batches
+from tidemark.llm.batches import documents_of, id_and_text, in_batches, in_parts
 from tidemark.llm.components import connected_components
 from tidemark.llm.lookup import most_frequent
 from tidemark.llm.shingle_sets import Shingler, mixed, set_number
@@ -54,7 +54,9 @@ class JoinRules:
 
 
 # Tokens that a task holds together to count how many of its sets share each.
-_HELD_TOKENS = 1 << 22
+_HELD_TOKENS = 1 << 21
+# Sets of which a task remembers that it has given them.
+_HELD_NODES = 200_000
 
 _SETS = pa.schema(
     [("doc_id", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()),
@@ -156,7 +158,7 @@ def _prefixes(rows: DataFrame, orders, rules: JoinRules) -> DataFrame:
                 node = set_number(tokens) if len(tokens) else None
                 if node is None or node in seen:
                     continue
-                if len(seen) >= _HELD_TOKENS:
+                if len(seen) >= _HELD_NODES:
                     seen.clear()
                 seen.add(node)
                 extra = _extra(len(tokens), rules)
@@ -205,7 +207,7 @@ def _kept_pairs(pairs: DataFrame, columns: list[str], check: Callable[..., bool]
     """The pairs (a, b) whose columns pass the check."""
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             values = zip(*(batch.column(name).to_pylist() for name in columns))
             kept = pa.array([check(*row) for row in values], pa.bool_())
             yield batch.select(["a", "b"]).filter(kept)

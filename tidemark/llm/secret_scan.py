@@ -19,7 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import id_and_text
+from tidemark.llm.batches import id_and_text, in_parts
 from tidemark.llm.trigrams import TrigramTable, matching_rows, trigram_query, trigrams_of
 
 
@@ -111,7 +111,7 @@ def scan_secrets(
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in in_parts(batches):
             _, spans = scanner.scan(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(spans, SPANS)], names=["doc_id", "spans"]
@@ -146,7 +146,7 @@ def redact_secrets(
 
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in in_parts(batches):
             texts, spans = scanner.scan(batch.column(text_col))
             changed = np.array([bool(found) for found in spans], dtype=bool)
             if not changed.any():

@@ -24,7 +24,7 @@ def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
 class Shingler:
     """Shingles of `width` words; each distinct word is hashed once, up to a bound."""
 
-    most_kept = 300_000
+    most_kept = 100_000
 
     def __init__(self, width: int):
         if not 1 <= width <= len(_PLACES):
