@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import documents_of, id_and_text, in_batches
+from tidemark.llm.kept import Kept
 from tidemark.llm.word_bpe import WordBpe, read_definition
 from tidemark.sources.scratch import materialize
 
 CAPACITY = 4096
 END_ID = 1
 SLICES = 64
-_KEPT_CHUNKS = 200_000
+_KEPT_CHUNKS = 150_000
 
 
 @dataclass(frozen=True)
@@ -155,32 +156,19 @@ PIECES = pa.schema(
 PIECES_DDL = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-class _Ids(dict):
-    """Chunks of text and their ids as 32-bit integers; chunks are cut once."""
+class _Ids:
+    """Ids of texts as 32-bit integers; chunks, and the pre-tokens of chunks, are cut once
+    while they are kept."""
 
     def __init__(self, bpe: WordBpe):
-        super().__init__()
         self.bpe = bpe
-        self.of_piece: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = b"".join(map(self._piece, self.bpe.pieces(chunk)))
-        self[chunk] = ids
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.of_piece.get(piece)
-        if found is None:
-            found = array("I", self.bpe.ids(piece)).tobytes()
-            self.of_piece[piece] = found
-        return found
+        of_piece = Kept(lambda piece: array("I", bpe.ids(piece)).tobytes(), _KEPT_CHUNKS)
+        self.of_chunk = Kept(
+            lambda chunk: b"".join(map(of_piece.__getitem__, bpe.pieces(chunk))), _KEPT_CHUNKS
+        )
 
     def of_text(self, text: bytes) -> bytes:
-        if len(self) > _KEPT_CHUNKS:
-            self.clear()
-        if len(self.of_piece) > _KEPT_CHUNKS:
-            self.of_piece.clear()
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.of_chunk.__getitem__, text.split()))
 
 
 def token_pieces(
