@@ -1,3 +1,5 @@
+import base64
+import random
 import re
 from collections import Counter
 
@@ -78,3 +80,30 @@ def test_rejected_documents_go(documents, odd_rows, vocabulary):
 
 def test_empty(documents, vocabulary):
     assert measure_quality(documents([]), vocabulary("piece_bpe_32k.model")).count() == 0
+
+
+def test_random_letters_and_encoded_data_are_rejected(documents, vocabulary):
+    """Among prose of the script, junk goes by limits that the prose sets; all prose stays."""
+    rng = random.Random(3)
+
+    def letters(alphabet):
+        return "".join(rng.choice(alphabet) for _ in range(rng.randint(3, 10)))
+
+    kinds = [
+        lambda: letters("abcdefghijklmnopqrstuvwxyz"),
+        lambda: letters("bcdfghjklmnpqrstvwxz"),
+        lambda: letters("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        lambda: base64.b64encode(rng.randbytes(24)).decode(),
+    ]
+    junk = [(i, " ".join(kind() for _ in range(n))) for i, (kind, n) in
+            enumerate((kind, n) for kind in kinds for n in (30, 200))]
+    # Invented words of open syllables, as prose of a language the vocabulary knows little.
+    syllables = [c + v for c in "bdfgklmnprstv" for v in ("a", "e", "i", "o", "an", "er", "on")]
+    lexicon = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(600)]
+    prose_rows = [(100 + i, " ".join(rng.choice(lexicon) for _ in range(60))) for i in range(300)]
+    docs = documents([*junk, *prose_rows])
+    want = {i for i, _ in prose_rows}
+    judged = measure_quality(docs, vocabulary("piece_bpe_32k.model")).collect()
+    assert {r.doc_id for r in judged if r.kept} == want
+    assert all(r.reason for r in judged if r.doc_id not in want)
+    assert {r.doc_id for r in keep_good(docs, vocabulary("piece_bpe_32k.model")).collect()} == want

@@ -4,6 +4,10 @@ Text that resembles the prose a vocabulary was made from takes few tokens for it
 characters, hardly ever falls back to bytes, and spreads over many pieces. Junk takes
 many tokens (random letters, encoded data), falls back (odd bytes and symbols) or
 repeats few pieces. Each measure has a band per script; outside, a text is rejected.
+
+The bands are wide ones at first. What passes them shows how the prose of a script is
+distributed here: the lower limits go up to a low quantile over all these documents,
+less a margin, and the texts below are rejected too.
 """
 
 from __future__ import annotations
@@ -12,13 +16,15 @@ import unicodedata
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.batches import documents_of, id_and_text, in_batches, in_parts
+from tidemark.sources.scratch import materialize
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -59,6 +65,13 @@ class FertilityRules:
     # Symbols per hundred words, as in published filters of web text; vocabularies hold
     # runs of symbols as pieces of their own, so fertility alone does not show them.
     most_symbols_percent: int = 10
+    # Lower limits are these shares of the measures' quantile over a script's documents:
+    # junk stays below while it is less than that part of them. Evenness falls with
+    # length, so its margin is wider. Scripts of few documents keep the wide bands.
+    low_quantile: float = 0.05
+    chars_margin: float = 0.87
+    evenness_margin: float = 0.8
+    least_documents: int = 100
 
 
 class Fertility:
@@ -234,6 +247,59 @@ def judge(text: bytes, fertility: Fertility, rules: FertilityRules) -> tuple:
     )
 
 
+def fitted_bands(measured: DataFrame, rules: FertilityRules) -> dict[str, Band]:
+    """Bands with lower limits from all rows (script, n_tokens, chars_per_token, evenness,
+    kept) that pass the wide ones. Quantiles come from counts in steps of a thousandth, so
+    they do not depend on how rows are dealt out."""
+    some = measured.where(F.col("kept") & (F.col("n_tokens") >= rules.least_tokens))
+    measures = F.explode(
+        F.create_map(F.lit("chars"), "chars_per_token", F.lit("evenness"), "evenness")
+    ).alias("measure", "value")
+    step = F.floor(F.col("value") * 1000).alias("step")
+    steps = (
+        some.select("script", measures)
+        .groupBy("script", "measure", step)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .collect()
+    )
+    counts: dict[tuple[str, str], Counter] = {}
+    for row in steps:
+        counts.setdefault((row["script"], row["measure"]), Counter())[row["step"]] = row["rows"]
+    bands = dict(rules.bands)
+    for (script, measure), times in counts.items():
+        places = sorted(times)
+        below = np.cumsum([times[place] for place in places])
+        if below[-1] < rules.least_documents:
+            continue
+        low = places[int(np.searchsorted(below, rules.low_quantile * below[-1]))] / 1000
+        band = bands[script]
+        if measure == "chars":
+            least = max(band.least_chars_per_token, rules.chars_margin * low)
+            bands[script] = replace(band, least_chars_per_token=least)
+        else:
+            least = max(band.least_evenness, rules.evenness_margin * low)
+            bands[script] = replace(band, least_evenness=least)
+    return bands
+
+
+def _reason(bands: dict[str, Band], rules: FertilityRules, inside: str = "") -> Column:
+    """The reason, or that of the first fitted limit that a row breaks. The measures are
+    columns, or fields of the column `inside`."""
+    names = ["reason", "script", "word_chars", "n_tokens", "evenness"]
+    before, of, chars, tokens, evenness = (F.col(inside + name) for name in names)
+    reason = before
+    for script, band in bands.items():
+        few = chars < band.least_chars_per_token * tokens
+        uneven = (tokens >= rules.least_tokens) & (evenness < band.least_evenness)
+        own = (before == "") & (of == script)
+        reason = (
+            F.when(own & few, "few characters a token")
+            .when(own & uneven, "few different tokens")
+            .otherwise(reason)
+        )
+    return reason
+
+
 def measure_quality(
     docs: DataFrame,
     model_path: str,
@@ -247,7 +313,8 @@ def measure_quality(
     are runs of other bytes than space, tab, line feed, vertical tab, form feed and
     carriage return. A null or empty text has no words and fails; repeated rows and null
     ids stay as they are; other columns are not read; an empty table gives an empty
-    result. Every text is judged alone, so nothing is shuffled.
+    result. Texts are measured when this is called; only counts of measures are shuffled,
+    from which the lower limits of each script follow.
     """
     rules = rules or FertilityRules()
     with open(model_path, "rb") as file:
@@ -259,20 +326,40 @@ def measure_quality(
             rows = ((i, *judge(text, fertility, rules)) for i, text in zip(ids, texts))
             yield from in_batches(SCHEMA, rows)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(judge_all, SCHEMA_DDL)
+    rows = id_and_text(docs, id_col, text_col).mapInArrow(judge_all, SCHEMA_DDL)
+    measured, _ = materialize(rows, "fertility")
+    reason = _reason(fitted_bands(measured, rules), rules)
+    return measured.withColumns({"kept": F.col("kept") & (reason == ""), "reason": reason})
 
 
 def keep_good(docs: DataFrame, model_path: str, rules: FertilityRules | None = None) -> DataFrame:
-    """The rows whose text is kept, all columns as they are."""
+    """The rows whose text is kept, all columns as they are. What passes the wide bands is
+    stored beside its measures when this is called, so each text is measured once."""
     rules = rules or FertilityRules()
     with open(model_path, "rb") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
-
-    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["kept", "word_chars", "n_tokens", "chars_per_token", "evenness", "script", "reason"]
+    places = [SCHEMA.get_field_index(name) - 1 for name in names]
+    fields = pa.struct([SCHEMA.field(name) for name in names])
+    types = dict(part.split() for part in SCHEMA_DDL.split(", "))
+    own = "fertility_measures"
+    while own in docs.columns:
+        own += "_"
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fertility = Fertility(model.value)
         for batch in in_parts(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            kept = [judge(text or b"", fertility, rules)[6] for text in texts]
-            yield batch.filter(pa.array(kept, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+            rows = []
+            for text in texts:
+                judged = judge(text or b"", fertility, rules)
+                rows.append(dict(zip(names, (judged[place] for place in places))))
+            kept = pa.array([row["kept"] for row in rows], pa.bool_())
+            yield batch.append_column(own, pa.array(rows, fields)).filter(kept)
+
+    struct = "struct<" + ", ".join(f"{name}: {types[name]}" for name in names) + ">"
+    schema = docs.select("*", F.lit(None).cast(struct).alias(own)).schema
+    stored, _ = materialize(docs.mapInArrow(measure, schema), "fertility-kept")
+    bands = fitted_bands(stored.select(f"{own}.*"), rules)
+    good = _reason(bands, rules, f"{own}.") == ""
+    return stored.where(good).drop(own)
