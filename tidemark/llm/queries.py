@@ -12,6 +12,7 @@ from tidemark.llm.licence_scan import scan_licences
 from tidemark.llm.log_bilinear import score_documents
 from tidemark.llm.ngram_join import similar_classes
 from tidemark.llm.oracle import ORACLE_SQL  # noqa: F401
+from tidemark.llm.phrases import collocations
 from tidemark.llm.robust_graph import link_embeddings
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
 from tidemark.llm.sharding import shard_documents
@@ -91,3 +92,8 @@ def op1_robust_graph_links(spark, sf_dir):
 @query
 def op6_licence_scan(spark, sf_dir):
     return scan_licences(documents(spark, sf_dir))
+
+
+@query
+def op13_top_order_phrases(spark, sf_dir):
+    return collocations(documents(spark, sf_dir))
