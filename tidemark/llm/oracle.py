@@ -107,6 +107,32 @@ SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'key' AS law, shard::INT
 FROM rows_
 """
 
+# Every anchor against every row.
+OP12_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), negatives AS (
+    SELECT p.*, s.other_id AS negative_id, s.score AS negative_score, row_number() OVER (
+        PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS rank
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+        AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 5
+"""
+
 # Every phrase of one to five words written out and counted.
 OP13_SQL = r"""
 WITH pieces AS (
@@ -159,5 +185,6 @@ ORACLE_SQL = {
     "op1_robust_graph_links": OP1_SQL,
     "op3_ngram_join": OP3_SQL,
     "op5_jump_sharding": OP5_SQL,
+    "op12_bit_plane_negatives": OP12_SQL,
     "op13_top_order_phrases": OP13_SQL,
 }

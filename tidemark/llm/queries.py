@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.fertility import measure_quality
+from tidemark.llm.hard_negatives import mine_negatives
 from tidemark.llm.licence_scan import scan_licences
 from tidemark.llm.log_bilinear import score_documents
 from tidemark.llm.ngram_join import similar_classes
@@ -97,3 +98,8 @@ def op6_licence_scan(spark, sf_dir):
 @query
 def op13_top_order_phrases(spark, sf_dir):
     return collocations(documents(spark, sf_dir))
+
+
+@query
+def op12_bit_plane_negatives(spark, sf_dir):
+    return mine_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
