@@ -13,6 +13,7 @@ from tidemark.llm.licence_scan import scan_licences
 from tidemark.llm.log_bilinear import score_documents
 from tidemark.llm.ngram_join import similar_classes
 from tidemark.llm.oracle import ORACLE_SQL  # noqa: F401
+from tidemark.llm.page_text import extract_text
 from tidemark.llm.phrases import collocations
 from tidemark.llm.robust_graph import link_embeddings
 from tidemark.llm.secret_scan import scan_secrets, secret_digest
@@ -103,3 +104,8 @@ def op13_top_order_phrases(spark, sf_dir):
 @query
 def op12_bit_plane_negatives(spark, sf_dir):
     return mine_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op11_minimum_cut_pages(spark, sf_dir):
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
