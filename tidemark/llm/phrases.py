@@ -29,8 +29,8 @@ from tidemark.sources.scratch import materialize
 NO_LANG = "und"
 _PAD = ""
 # Occurrences a task holds before it hands its counts on, and distinct words besides.
-_HELD_WORDS = 3_000_000
-_HELD_DISTINCT = 600_000
+_HELD_WORDS = 1_000_000
+_HELD_DISTINCT = 300_000
 # Bits of the pair filter: one for every few words, at most 8 MB in a task.
 _LEAST_BITS, _MOST_BITS = 20, 26
 # What ends a piece, and what stands between words.
