@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import threading
 import time
 from pathlib import Path
 
@@ -58,27 +59,160 @@ def test_a_failed_overwrite_leaves_no_folder(spark, tmp_path):
     assert versions(path) == kept
 
 
-@pytest.mark.parametrize("content", [None, ""])
-def test_a_lost_pointer_is_loud(spark, tmp_path, monkeypatch, content):
-    monkeypatch.setattr(tables, "_POINTER_WAIT_SECONDS", 0)
+def commits(path):
+    return sorted(d for d in os.listdir(f"{path}/_commits") if d.isdigit())
+
+
+def test_versions_without_a_commit_are_loud(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "_LOG_WAIT_SECONDS", 0)
     path = str(tmp_path / "t")
     overwrite_table(spark.range(3), path)
-    overwrite_table(spark.range(4), path)
-    pointer = tmp_path / "t" / "_current"
-    names = pointer.read_text()
-    pointer.unlink()
-    (tmp_path / "t" / "._current.crc").unlink(missing_ok=True)
-    if content is not None:
-        pointer.write_text(content)
-    for use in (
-        lambda: read_table(spark, path),
-        lambda: table_bytes(spark, path),
-        lambda: overwrite_table(spark.range(5), path),
-    ):
-        with pytest.raises(tables.LostPointer, match="_current"):
+    for name in commits(path):
+        (tmp_path / "t" / "_commits" / name).unlink()
+    for use in (lambda: read_table(spark, path), lambda: table_bytes(spark, path)):
+        with pytest.raises(tables.LostCommits, match="_commits"):
             use()
-    pointer.write_text(names)
+    # A whole overwrite needs nothing from what was there.
+    overwrite_table(spark.range(5), path)
+    assert read_table(spark, path).count() == 5
+
+
+@pytest.mark.parametrize("content", ["", '{"parts": ["version-x"'])
+def test_a_commit_that_was_not_finished_does_not_count(spark, tmp_path, monkeypatch, content):
+    monkeypatch.setattr(tables, "_LOG_WAIT_SECONDS", 0)
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(3), path)
+    (tmp_path / "t" / "_commits" / f"{2:020d}").write_text(content)
+    assert read_table(spark, path).count() == 3
+    overwrite_table(spark.range(4), path)
     assert read_table(spark, path).count() == 4
+    assert tables.latest_commit(spark, path).number == 3
+
+
+def test_a_commit_taken_for_dead_is_refused(spark, tmp_path, monkeypatch):
+    """Its file was seen before it was written, and another run went past it."""
+    monkeypatch.setattr(tables, "_LOG_WAIT_SECONDS", 0)
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(1), path)
+    create = tables._create
+
+    def slow(session, target, text):
+        if target.endswith("2"):
+            Path(target).write_text("")
+            overwrite_table(spark.range(7), path)
+            Path(target).write_text(text)
+            return True
+        return create(session, target, text)
+
+    monkeypatch.setattr(tables, "_create", slow)
+    with pytest.raises(tables.ConcurrentOverwrite):
+        overwrite_table(spark.range(3), path)
+    assert read_table(spark, path).count() == 7
+
+
+def test_two_writers_in_the_same_instant(spark, tmp_path, monkeypatch):
+    """All begin from one state and meet where the commit is made: one of them wins."""
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(1), path)
+    meet, create = threading.Barrier(4), tables._create
+
+    def together(session, target, text):
+        meet.wait(60)
+        return create(session, target, text)
+
+    monkeypatch.setattr(tables, "_create", together)
+    ends = {}
+
+    def run(rows):
+        try:
+            ends[rows] = overwrite_table(spark.range(rows), path)
+        except tables.ConcurrentOverwrite:
+            ends[rows] = None
+
+    runs = [threading.Thread(target=run, args=(rows,)) for rows in (2, 3, 4, 5)]
+    for thread in runs:
+        thread.start()
+    for thread in runs:
+        thread.join()
+    winners = [rows for rows in ends if ends[rows]]
+    assert len(winners) == 1 and read_table(spark, path).count() == winners[0]
+    # The version before and the winner's; what the others wrote is gone.
+    assert len(versions(path)) == 2
+
+
+def test_create_if_absent_by_the_store(spark, tmp_path, monkeypatch):
+    """The way of stores without links, on a file system that refuses to overwrite."""
+    hadoop_path = tables.hadoop_path
+
+    class Store:
+        def __init__(self, files):
+            self.files = files
+
+        def getScheme(self):
+            return "store"
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+    def stored(session, path):
+        target, files = hadoop_path(session, path)
+        return target, Store(files)
+
+    monkeypatch.setattr(tables, "hadoop_path", stored)
+    path = str(tmp_path / "t" / "one")
+    assert tables._create(spark, path, "first\n") is True
+    assert tables._create(spark, path, "second\n") is False
+    assert Path(path).read_text() == "first\n"
+
+
+STEPS = ("write_counted", "_read_commit", "_create", "_numbers", "_sweep", "delete_path")
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_run_killed_at_any_step_leaves_old_or_new_rows(spark, tmp_path, monkeypatch, step, when):
+    path = str(tmp_path / "t")
+    for rows in (1, 2, 3):
+        overwrite_table(spark.range(rows), path)
+    plain = getattr(tables, step)
+    calls = 0
+    for nth in range(1, 6):
+
+        def killed(*arguments, nth=nth):
+            nonlocal calls
+            calls += 1
+            if calls == nth and when == "before":
+                raise KeyboardInterrupt
+            done = plain(*arguments)
+            if calls == nth:
+                raise KeyboardInterrupt
+            return done
+
+        calls = 0
+        old = read_table(spark, path).count()
+        monkeypatch.setattr(tables, step, killed)
+        try:
+            overwrite_table(spark.range(old + 1), path)
+        except KeyboardInterrupt:
+            pass
+        monkeypatch.setattr(tables, step, plain)
+        assert read_table(spark, path).count() in (old, old + 1)
+    overwrite_table(spark.range(50), path)
+    assert read_table(spark, path).count() == 50
+
+
+def test_parts_of_older_commits_stay_while_they_are_named(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first, _ = tables.write_part(spark.range(2), path)
+    commit = tables.commit_parts(spark, path, None, [first], {"seen": 1})
+    for value in (10, 20, 30):
+        more, _ = tables.write_part(spark.range(value, value + 1), path)
+        kept = [first, more]
+        commit = tables.commit_parts(spark, path, commit, kept, {"seen": value}, [more])
+    assert values(read_table(spark, path, schema=spark.range(0).schema)) == [(0,), (1,), (30,)]
+    assert tables.latest_commit(spark, path).note == {"seen": 30}
+    # The first part, and those of the last two commits.
+    assert len(versions(path)) == 3
 
 
 def test_of_two_writers_the_last_is_refused(spark, tmp_path, monkeypatch):
