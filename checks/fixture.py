@@ -60,6 +60,7 @@ def derive(events: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("e"), num.cast("string")))
         .alias("event_id"),
         F.when(every(211), "view")
+        .when(every(223), "")
         .when(every(7), F.concat(F.lit(" "), F.upper("kind"), F.lit(" ")))
         .otherwise(F.col("kind"))
         .alias("event_type"),

@@ -751,7 +751,7 @@ def silver_roundtrip(spark, sf_dir):
 def _lake(spark, sf_dir, name):
     """A lake whose bronze is the derived table, and the rows of that."""
     lake = Lake(scratch_path(spark, name))
-    rows = overwrite_table(bronze(spark, sf_dir), lake.bronze_path, ["event_type"])
+    rows = lake.store_bronze(bronze(spark, sf_dir))
     return lake, rows
 
 

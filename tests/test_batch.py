@@ -19,7 +19,7 @@ TABLES = tuple(schemas.GOLD)
 def lake(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     bronze = fixture.bronze(spark, "/root/testdata/sf0.001")
-    overwrite_table(bronze, lake.bronze_path, ["event_type"])
+    lake.store_bronze(bronze)
     return lake
 
 
@@ -62,7 +62,7 @@ def test_steps_run_alone(spark, lake):
 def test_failed_checks_stop_the_run(spark, events, tmp_path):
     # Valid silver rows, but a user without a name.
     lake, sent = Lake(str(tmp_path / "lake")), []
-    overwrite_table(events({"username": None}), lake.bronze_path, ["event_type"])
+    lake.store_bronze(events({"username": None}))
     with pytest.raises(batch.QualityError, match="stg_user_engagement.username not_null") as raised:
         batch.run_batch(spark, lake, send=lambda name, df: sent.append(name))
     assert [r["failures"] for r in raised.value.failed] == [1]
@@ -79,7 +79,7 @@ def test_silver_is_partitioned_by_clean_type(spark, lake):
 def test_served_names_outlive_the_session(spark, tmp_path):
     """A second session reads what the first has served, and a later run replaces it."""
     lake = Lake(str(tmp_path / "lake"))
-    overwrite_table(fixture.bronze(spark, "/root/testdata/sf0.001"), lake.bronze_path, ["event_type"])
+    lake.store_bronze(fixture.bronze(spark, "/root/testdata/sf0.001"))
     first = spark.newSession()
     batch.run_batch(first, lake, as_of=NOON)
     second = spark.newSession()

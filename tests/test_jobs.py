@@ -12,7 +12,7 @@ from tidemark.sources.tables import overwrite_table
 def run(spark, tmp_path, monkeypatch, capsys):
     lake = Lake(str(tmp_path / "lake"))
     bronze = fixture.bronze(spark, "/root/testdata/sf0.001")
-    overwrite_table(bronze, lake.bronze_path, ["event_type"])
+    lake.store_bronze(bronze)
 
     class Kept:
         """The test session, which a job must not stop."""

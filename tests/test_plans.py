@@ -32,7 +32,7 @@ def scanned(df):
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     lake = Lake(str(tmp_path_factory.mktemp("plans") / "lake"))
-    overwrite_table(fixture.bronze(spark, SF_DIR), lake.bronze_path, ["event_type"])
+    lake.store_bronze(fixture.bronze(spark, SF_DIR))
     batch.build_silver(spark, lake)
     return lake
 

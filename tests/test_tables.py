@@ -27,7 +27,7 @@ def test_overwrite_replaces_rows_and_schema(spark, tmp_path, fmt):
     assert held.count() == 5
     for _ in range(3):
         overwrite_table(spark.range(1), path, fmt=fmt)
-    assert len([d for d in os.listdir(path) if d.startswith("version-")]) == 2
+    assert len([d for d in os.listdir(path) if d.startswith("version=")]) == 2
     assert table_bytes(spark, path) > 0
 
 
@@ -43,7 +43,7 @@ def test_failed_overwrite_leaves_the_old_rows(spark, tmp_path):
 
 
 def versions(path):
-    return sorted(d for d in os.listdir(path) if d.startswith("version-"))
+    return sorted(d for d in os.listdir(path) if d.startswith("version="))
 
 
 def test_a_failed_overwrite_leaves_no_folder(spark, tmp_path):
@@ -77,7 +77,7 @@ def test_versions_without_a_commit_are_loud(spark, tmp_path, monkeypatch):
     assert read_table(spark, path).count() == 5
 
 
-@pytest.mark.parametrize("content", ["", '{"parts": ["version-x"'])
+@pytest.mark.parametrize("content", ["", '{"parts": ["version=x"'])
 def test_a_commit_that_was_not_finished_does_not_count(spark, tmp_path, monkeypatch, content):
     monkeypatch.setattr(tables, "_LOG_WAIT_SECONDS", 0)
     path = str(tmp_path / "t")
@@ -235,12 +235,12 @@ def test_of_two_writers_the_last_is_refused(spark, tmp_path, monkeypatch):
 def test_what_dead_runs_left_is_swept(spark, tmp_path):
     path = str(tmp_path / "t")
     overwrite_table(spark.range(1), path)
-    for name, days in (("version-old", 30), ("version-running", 0)):
+    for name, days in (("version=old", 30), ("version=running", 0)):
         (tmp_path / "t" / name).mkdir()
         then = time.time() - days * 86_400
         os.utime(tmp_path / "t" / name, (then, then))
     overwrite_table(spark.range(2), path)
-    assert "version-old" not in versions(path) and "version-running" in versions(path)
+    assert "version=old" not in versions(path) and "version=running" in versions(path)
 
 
 _SCRIPT = """

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas
-from tidemark.sources.tables import read_table
+from tidemark.sources.bronze import KIND, read_bronze, with_kind
+from tidemark.sources.tables import overwrite_table, read_table
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,11 @@ class Lake:
     def bronze_path(self) -> str:
         return f"{self.base}/bronze"
 
+    @property
+    def compacted_path(self) -> str:
+        """Large files made of bronze ones, and which those are."""
+        return f"{self.base}/bronze_compacted"
+
     @property
     def trends_path(self) -> str:
         return f"{self.base}/trends"
@@ -40,7 +46,11 @@ class Lake:
         return f"{self.base}/checkpoints/{name}"
 
     def bronze(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.bronze_path, self.fmt, schemas.BRONZE)
+        return read_bronze(spark, self.bronze_path, self.compacted_path, self.fmt)
+
+    def store_bronze(self, events: DataFrame) -> int:
+        """Make `events` the whole of bronze, as a stream would have stored them."""
+        return overwrite_table(with_kind(events), self.bronze_path, [KIND], self.fmt)
 
     def trends(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.trends_path, self.fmt, schemas.TRENDS)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.sources.bronze import KIND, with_kind
+
 # A new subscription starts at the end of the topic and outlives expired offsets.
 KAFKA_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
 
@@ -80,7 +82,7 @@ def write_bronze(
     fmt: str = "parquet",
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Append every event, valid or not, partitioned by the type as received."""
-    return append_stream(
-        events, path, checkpoint, "bronze", ["event_type"], bounded, fmt, interval
-    )
+    """Append every event, valid or not, in a folder for each known kind and one for all
+    others. The type as received is a column like the others, so '' stays ''."""
+    stored = with_kind(events)
+    return append_stream(stored, path, checkpoint, "bronze", [KIND], bounded, fmt, interval)
