@@ -16,7 +16,9 @@ from tidemark.operators.latest import keep_latest, keep_latest_of_few_copies
 from tidemark.operators.ranking import global_rank
 from tidemark.plans import medallion, publish
 from tidemark.plans.batch import run_batch as run_medallion
+from tidemark.plans.incremental import refresh_silver
 from tidemark.plans.layout import Lake
+from tidemark.plans.quarantine import read_rejects, write_judged
 from tidemark.rules import DEFAULT_RULES
 from tidemark.session import (
     READ_BYTES,
@@ -25,6 +27,7 @@ from tidemark.session import (
     partition_settings,
     pin_utc,
 )
+from tidemark.sources.bronze import compact_bronze, vacuum_bronze
 from tidemark.sources.messages import decode, parse_events
 from tidemark.sources.scratch import scratch_path
 from tidemark.sources.tables import overwrite_table, read_table, table_bytes
@@ -755,6 +758,53 @@ def _lake(spark, sf_dir, name):
     return lake, rows
 
 
+def _arrivals(spark, sf_dir):
+    """The events in three lots: most of them, copies of a tenth of those, and others."""
+    rows = bronze(spark, sf_dir)
+    num, ones = fixture.number(rows), F.pmod(F.col("likes"), F.lit(2)) == 1
+    # Copies of an event differ in their likes by one.
+    lot = F.when(num % 5 == 4, 2).when((num % 10 == 0) & ones, 1).otherwise(0)
+    marked = rows.withColumn("lot", lot)
+    return [marked.where(F.col("lot") == i).drop("lot") for i in range(3)]
+
+
+def _arrive(spark, lake, rows, name):
+    """Append to bronze by a stream over a growing folder."""
+    folder = f"{lake.base}/{name}"
+    rows.write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(schemas.BRONZE).parquet(folder)
+    runner.finish(
+        ingest.write_bronze(arriving, lake.bronze_path, lake.checkpoint("bronze"), bounded=True)
+    )
+
+
+@query
+@streaming
+def silver_incremental(spark, sf_dir):
+    """Silver after three loads, the second and third from new files alone."""
+    lake = Lake(scratch_path(spark, "incremental"))
+    for number, rows in enumerate(_arrivals(spark, sf_dir)):
+        _arrive(spark, lake, rows, "arrivals")
+        done = refresh_silver(spark, lake)
+        if done.full != (number == 0):
+            raise RuntimeError(f"load {number} read all of bronze: {done}")
+    return _comparable_silver(lake.silver(spark))
+
+
+@query
+@streaming
+def bronze_compacted(spark, sf_dir):
+    """Every event after three runs of the stream with a compaction after each, and the
+    replaced files deleted."""
+    lake = Lake(scratch_path(spark, "compacted"))
+    for rows in _arrivals(spark, sf_dir):
+        _arrive(spark, lake, rows, "arrivals")
+        compact_bronze(spark, lake.bronze_path, lake.compacted_path)
+        vacuum_bronze(spark, lake.bronze_path, lake.compacted_path, older_than_hours=0)
+    rows = plain_times(lake.bronze(spark), "timestamp", "ingested_at")
+    return rows.withColumn("hashtags", F.array_join("hashtags", "|"))
+
+
 @query
 def row_counts(spark, sf_dir):
     """Rows per table as observed while a batch run wrote them."""
@@ -779,8 +829,9 @@ def publish_all(spark, sf_dir):
     run_medallion(spark, lake)
     publish.withdraw(spark)
     publish.publish_all(spark, lake)
+    tables = publish.read_served(spark)
     counted = [
-        spark.table(name).agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
+        tables[name].agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
         for name in publish.NAMES
     ]
     return reduce(DataFrame.unionByName, counted)
@@ -792,3 +843,38 @@ def served_users(spark, sf_dir):
     lake, _ = _lake(spark, sf_dir, "served")
     run_medallion(spark, lake)
     return untimed(spark.table("stg_user_engagement"))
+
+
+@query
+def served_mart(spark, sf_dir):
+    """The mart of a whole run through its served name, after a second release."""
+    lake, _ = _lake(spark, sf_dir, "served-mart")
+    for _ in range(2):
+        run_medallion(spark, lake)
+    return untimed(publish.read_served(spark, ["mart_trending_topics"])["mart_trending_topics"])
+
+
+@query
+def served_hours(spark, sf_dir):
+    """The hourly table of a whole run, row by row, through its served name."""
+    lake, _ = _lake(spark, sf_dir, "served-hours")
+    run_medallion(spark, lake)
+    return untimed(spark.table("raw_hourly_trends"))
+
+
+@query
+def rejected_events(spark, sf_dir):
+    """Rejected newest copies as received, each with the first rule it breaks, as they
+    were written in the pass that wrote silver."""
+    lake, _ = _lake(spark, sf_dir, "rejects")
+    write_judged(spark, lake)
+    rows = plain_times(read_rejects(spark, lake), "timestamp", "ingested_at")
+    return rows.withColumn("hashtags", F.array_join("hashtags", "|"))
+
+
+@query
+def quarantine_silver(spark, sf_dir):
+    """Silver as written beside its rejected rows."""
+    lake, _ = _lake(spark, sf_dir, "judged")
+    write_judged(spark, lake)
+    return _comparable_silver(lake.silver(spark))

@@ -34,7 +34,7 @@ def run(spark, tmp_path, monkeypatch, capsys):
 
 
 def test_steps_one_after_the_other(run):
-    assert json.loads(run("silver")) == {"silver": 953}
+    assert json.loads(run("silver")) == {"silver": 949}
     assert json.loads(run("gold")) == {
         "top_hashtags": 18, "user_engagement": 30, "hourly_trends": 120,
     }
@@ -46,7 +46,7 @@ def test_steps_one_after_the_other(run):
 
 def test_whole_batch(run):
     report = json.loads(run("batch"))
-    assert report["written"]["silver"] == 953
+    assert report["written"]["silver"] == 949
     assert report["sent"] == {}
 
 

@@ -4,7 +4,8 @@
     python -m tidemark batch  --base s3a://lake
     python -m tidemark report --base s3a://lake
 
-`silver`, `gold`, `mart`, `check` and `send` run one step of `batch`.
+`silver`, `gold`, `mart`, `check` and `send` run one step of `batch`; `compact` makes large
+files of bronze's small ones, `vacuum` deletes those later.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from tidemark.operators import hours, serving
 from tidemark.plans import batch
 from tidemark.plans.layout import Lake
 from tidemark.session import open_session
+from tidemark.sources.bronze import compact_bronze, vacuum_bronze
 from tidemark.sources.relational import publish_jdbc
 from tidemark.streaming.ingest import kafka_options, read_event_stream
 from tidemark.streaming.runner import run_ingest
@@ -25,8 +27,10 @@ def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidemark")
     parser.add_argument(
         "job",
-        choices=["ingest", "batch", "silver", "gold", "mart", "check", "send", "report"],
-    )
+        choices=[
+            "ingest", "batch", "silver", "gold", "mart", "check", "send", "report", "compact", "vacuum",
+        ],
+    )
     parser.add_argument("--base", required=True, help="folder of the lake")
     parser.add_argument("--format", default="parquet", choices=["parquet", "delta"])
     parser.add_argument("--servers", help="ingest: Kafka bootstrap servers")
@@ -40,6 +44,12 @@ def _arguments() -> argparse.Namespace:
         "--source-option", action="append", default=[], metavar="NAME=VALUE",
         help="ingest: any other option of the source (security, minPartitions, ...); repeatable",
     )
+    parser.add_argument(
+        "--mode", default=batch.FULL, choices=batch.MODES, help="batch, silver: how silver is made"
+    )
+    parser.add_argument(
+        "--hours", type=float, default=24.0, help="vacuum: age of the compactions whose files go"
+    )
     parser.add_argument("--jdbc-url", help="send, batch: relational store")
     parser.add_argument("--jdbc-properties", help="JSON file with user, password, driver, ...")
     arguments = parser.parse_args()
@@ -89,10 +99,10 @@ def main() -> None:
                 state_partitions=arguments.state_partitions,
             )
         case "batch":
-            report = batch.run_batch(spark, lake, send=send)
+            report = batch.run_batch(spark, lake, send=send, mode=arguments.mode)
             print(json.dumps({"written": report.rows, "sent": report.sent}))
         case "silver":
-            print(json.dumps(batch.build_silver(spark, lake)))
+            print(json.dumps(batch.build_silver(spark, lake, mode=arguments.mode)))
         case "gold":
             print(json.dumps(batch.build_gold(spark, lake)))
         case "mart":
@@ -103,6 +113,11 @@ def main() -> None:
             if send is None:
                 raise SystemExit("send needs --jdbc-url")
             print(json.dumps(batch.send_tables(spark, lake, send)))
+        case "compact":
+            print(json.dumps(compact_bronze(spark, lake.bronze_path, lake.compacted_path)))
+        case "vacuum":
+            paths = lake.bronze_path, lake.compacted_path
+            print(json.dumps({"deleted": vacuum_bronze(spark, *paths, arguments.hours)}))
         case "report":
             _report(spark, lake)
     spark.stop()

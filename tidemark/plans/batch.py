@@ -14,14 +14,18 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidemark import schemas
 from tidemark.operators import marts, quality
+from tidemark.plans.incremental import refresh_silver
 from tidemark.plans.layout import Lake
 from tidemark.plans.medallion import gold_tables, silver_events
-from tidemark.plans.publish import publish_all, publish_gold, publish_mart
+from tidemark.plans.publish import publish_all, read_served
+from tidemark.plans.quarantine import write_judged
 from tidemark.rules import DEFAULT_RULES, EngagementRules
 from tidemark.session import pin_utc, sized_for
 from tidemark.sources.scratch import scratch_scope
 from tidemark.sources.tables import overwrite_table, table_bytes
 
+MODES = FULL, INCREMENTAL, QUARANTINE = "full", "incremental", "quarantine"
+
 # Copies a table to another store and returns the rows sent.
 Send = Callable[[str, DataFrame], int]
 
@@ -52,10 +56,21 @@ def build_silver(
     lake: Lake,
     rules: EngagementRules = DEFAULT_RULES,
     as_of: datetime | None = None,
+    mode: str = FULL,
 ) -> dict[str, int]:
-    """All of bronze to silver, partitioned by type; rows written."""
+    """Bronze to silver, partitioned by type; rows of the table.
+
+    `full` reads all of bronze. `incremental` reads what is new and gives the same rows.
+    `quarantine` is full and keeps the rejected rows, with their reasons, beside silver.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
+    if mode == INCREMENTAL:
+        return {"silver": refresh_silver(spark, lake, rules, as_of).rows}
     stored = table_bytes(spark, lake.bronze_path, lake.fmt)
     with sized_for(pin_utc(spark), stored), scratch_scope(spark):
+        if mode == QUARANTINE:
+            return write_judged(spark, lake, rules, as_of)
         silver = silver_events(lake.bronze(spark), rules, as_of)
         rows = overwrite_table(silver, lake.silver_path, ["event_type"], lake.fmt)
     return {"silver": rows}
@@ -79,11 +94,13 @@ def build_gold(
 def build_mart(
     spark: SparkSession, lake: Lake, rules: EngagementRules = DEFAULT_RULES
 ) -> dict[str, int]:
-    """Publish gold, then write and publish the mart over its staging view."""
-    publish_gold(pin_utc(spark), lake)
-    mart = marts.mart_trending_topics(spark.table("stg_top_hashtags"), rules)
-    rows = overwrite_table(mart, lake.mart_path, fmt=lake.fmt)
-    publish_mart(spark, lake)
+    """Write the mart from gold, then serve gold and mart together."""
+    stored = table_bytes(spark, lake.gold_path("top_hashtags"), lake.fmt)
+    with sized_for(pin_utc(spark), stored):
+        staged = marts.stg_top_hashtags(lake.gold(spark, "top_hashtags"))
+        mart = marts.mart_trending_topics(staged, rules)
+        rows = overwrite_table(mart, lake.mart_path, fmt=lake.fmt)
+    publish_all(spark, lake)
     return {"mart_trending_topics": rows}
 
 
@@ -94,18 +111,26 @@ def run_checks(
     publish_all(pin_utc(spark), lake)
     checks = quality.standard_checks(rules)
     tables = {check.table: spark.table(check.table) for check in checks}
-    rows = quality.quality_report(tables, checks).collect()
+    with sized_for(spark, _gold_bytes(spark, lake)):
+        rows = quality.quality_report(tables, checks).collect()
     failed = [row for row in rows if not row["passed"]]
     if failed:
         raise QualityError(failed)
     return rows
 
 
+def _gold_bytes(spark: SparkSession, lake: Lake) -> int:
+    return max(table_bytes(spark, lake.gold_path(name), lake.fmt) for name in schemas.GOLD)
+
+
 def send_tables(spark: SparkSession, lake: Lake, send: Send) -> dict[str, int]:
     """Copy gold and mart to another store under their served names."""
     publish_all(pin_utc(spark), lake)
     names = [f"raw_{name}" for name in schemas.GOLD] + ["mart_trending_topics"]
-    return {name: send(name, spark.table(name)) for name in names}
+    # All of one release, also if another run publishes meanwhile.
+    tables = read_served(spark, names)
+    with sized_for(spark, _gold_bytes(spark, lake)):
+        return {name: send(name, tables[name]) for name in names}
 
 
 def run_batch(
@@ -114,14 +139,16 @@ def run_batch(
     rules: EngagementRules = DEFAULT_RULES,
     as_of: datetime | None = None,
     send: Send | None = None,
+    mode: str = FULL,
 ) -> BatchReport:
-    """One full refresh from bronze; stops at the first failure.
+    """From bronze to checked tables; stops at the first failure. `mode` is that of
+    `build_silver`; gold and mart are made anew.
 
     Running it again gives the same tables. Nothing the size of an event table
     is cached. Tables are sent once their checks have passed.
     """
     report = BatchReport()
-    report.rows.update(build_silver(spark, lake, rules, as_of))
+    report.rows.update(build_silver(spark, lake, rules, as_of, mode))
     report.rows.update(build_gold(spark, lake, rules, as_of))
     report.rows.update(build_mart(spark, lake, rules))
     report.checks = run_checks(spark, lake, rules)

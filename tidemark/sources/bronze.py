@@ -10,8 +10,10 @@ sink's own log is never touched, so the stream goes on, and restarts, as if noth
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +29,6 @@ from tidemark.sources.tables import (
     commit_parts,
     current_locations,
     latest_commit,
-    read_parts,
     read_table,
     read_text,
     write_part,
@@ -40,6 +41,8 @@ STORED = T.StructType([*schemas.BRONZE.fields, T.StructField(KIND, T.StringType(
 COMPACT_BYTES = 256 * 1024 * 1024
 
 _SINK_LOG = "_spark_metadata"
+# Local names come with one slash or three.
+_LOCAL = re.compile("^file:/+")
 
 
 def event_kind(event_type: Column, rules: EngagementRules = DEFAULT_RULES) -> Column:
@@ -78,10 +81,11 @@ def committed_files(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
         for line in read_text(spark, f"{path}/{_SINK_LOG}/{name}").splitlines():
             if line.startswith("{"):
                 entry = json.loads(line)
+                file = _LOCAL.sub("file:/", entry["path"])
                 if entry["action"] == "delete":
-                    sizes.pop(entry["path"], None)
+                    sizes.pop(file, None)
                 else:
-                    sizes[entry["path"]] = entry["size"]
+                    sizes[file] = entry["size"]
     return spark.createDataFrame(sorted(sizes.items()), "file string, bytes bigint")
 
 
@@ -92,20 +96,29 @@ def _listed(spark: SparkSession, location: str) -> list[tuple[str, int]]:
         status = walk.next()
         name = status.getPath().getName()
         if not name.startswith(("_", ".")):
-            found.append((status.getPath().toUri().toString(), status.getLen()))
+            file = _LOCAL.sub("file:/", status.getPath().toUri().toString())
+            found.append((file, status.getLen()))
     return found
 
 
+def file_of_row() -> Column:
+    """The file a row was read from, as `committed_files` names it."""
+    return F.regexp_replace("_metadata.file_path", _LOCAL.pattern, "file:/")
+
+
+def _stored_files(spark: SparkSession, path: str, files: Sequence[str]) -> DataFrame:
+    base, store = hadoop_path(spark, path)
+    reader = spark.read.schema(STORED).option("basePath", store.makeQualified(base).toString())
+    return reader.parquet(*[unquote(file) for file in files])
+
+
 def read_files(
     spark: SparkSession, path: str, files: Sequence[str], schema: T.StructType = schemas.BRONZE
 ) -> DataFrame:
     """The rows of some files of the table at `path`."""
     if not files:
         return spark.createDataFrame([], schema)
-    base, _ = hadoop_path(spark, path)
-    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString()
-    reader = spark.read.schema(STORED).option("basePath", base)
-    return reader.parquet(*[unquote(file) for file in files]).select(*schema.names)
+    return _stored_files(spark, path, files).select(*schema.names)
 
 
 def replaced_files(spark: SparkSession, compacted: str) -> DataFrame | None:
@@ -123,16 +136,34 @@ def read_bronze(
     """All rows, each once, whether or not their files are compacted."""
     if fmt == "delta":
         return read_table(spark, path, fmt, schemas.BRONZE)
+    parts = [part.select(*schemas.BRONZE.names) for part in _tables(spark, path, compacted)]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schemas.BRONZE)
+
+
+def read_ids(spark: SparkSession, path: str, compacted: str) -> DataFrame:
+    """event_id, file: where every row is, from the id column alone."""
+    columns = (F.col("event_id"), file_of_row().alias("file"))
+    parts = [part.select(*columns) for part in _tables(spark, path, compacted)]
+    empty = "event_id string, file string"
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], empty)
+
+
+def _tables(spark: SparkSession, path: str, compacted: str) -> list[DataFrame]:
+    """What has to be read together: the large files, and the small ones they leave."""
     for _ in range(3):
         commit = latest_commit(spark, compacted, loud=False)
         if commit is None:
-            return read_table(spark, path, fmt, schemas.BRONZE)
-        large = read_parts(spark, compacted, commit, fmt, schemas.BRONZE)
+            return [
+                spark.read.schema(STORED).load(location)
+                for location in current_locations(spark, path)
+            ]
         left = committed_files(spark, path).join(replaced_files(spark, compacted), "file", "left_anti")
-        small = read_files(spark, path, [row["file"] for row in left.select("file").collect()])
+        small = [row["file"] for row in left.select("file").collect()]
         # A compaction that ends between the two lists would be read twice.
         if latest_commit(spark, compacted, loud=False) == commit:
-            return large.unionByName(small)
+            large = [f"{compacted}/{part}" for part in commit.parts]
+            found = [spark.read.schema(STORED).option("basePath", compacted).load(large)]
+            return found + ([_stored_files(spark, path, small)] if small else [])
     raise ConcurrentOverwrite(compacted)
 
 
