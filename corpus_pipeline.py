@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.fertility import keep_good
 from tidemark.llm.ngram_join import JoinRules, drop_similar
-from tidemark.llm.queries import PIECES, WORD_PIECES, documents, vocabulary
+from tidemark.llm.queries import MANY_LANGUAGES, PIECES, WORD_PIECES, documents, vocabulary
 from tidemark.llm.secret_scan import redact_secrets
 from tidemark.session import pin_utc
 from tidemark.sources.scratch import materialize
@@ -22,7 +22,7 @@ NEAR_COPIES = JoinRules(width=5, percent=80)
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the tokeniser's fertility reject go."""
-    return keep_good(docs, vocabulary(PIECES))
+    return keep_good(docs, vocabulary(PIECES), vocabulary(MANY_LANGUAGES))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

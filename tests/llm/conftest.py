@@ -21,8 +21,8 @@ def documents(spark):
     """Documents from (doc_id, text), beside columns whose names operators use inside."""
 
     def build(rows):
-        other = "row_id long, node long, key string, size int, label int, shard int, words string"
-        values = [(i, t, 1, 2, "k", 3, 4, 5, "w") for i, t in rows]
+        other = "row_id long, node long, key string, size int, label int, shard int, words string, lang string, group string"
+        values = [(i, t, 1, 2, "k", 3, 4, 5, "w", None, "g") for i, t in rows]
         return spark.createDataFrame(values, f"doc_id long, text string, {other}").repartition(3)
 
     return build

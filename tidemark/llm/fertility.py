@@ -1,29 +1,31 @@
-"""Quality rules from tokeniser fertility: how a public vocabulary copes with a text.
+"""Quality rules from tokeniser fertility: how public vocabularies cope with a text.
 
 Text that resembles the prose a vocabulary was made from takes few tokens for its
 characters, hardly ever falls back to bytes, and spreads over many pieces. Junk takes
-many tokens (random letters, encoded data), falls back (odd bytes and symbols) or
-repeats few pieces. Each measure has a band per script; outside, a text is rejected.
+many tokens (random letters, encoded data, runs of symbols), falls back (odd bytes) or
+repeats few pieces. A vocabulary with byte fallback gives the wide bands of a script; one
+made of many languages tells more finely how a text of a language should come out.
 
-The bands are wide ones at first. What passes them shows how the prose of a script is
-distributed here: the lower limits go up to a low quantile over all these documents,
-less a margin, and the texts below are rejected too.
+What passes the wide bands shows how the prose of a language (of a script, where no
+language is given) is distributed here. From the quantiles of all these documents follow
+lower limits, and the texts below are rejected too. No labels are used.
 """
 
 from __future__ import annotations
 
+import base64
 import unicodedata
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import documents_of, id_and_text, in_batches, in_parts
+from tidemark.llm.batches import in_batches, in_parts
 from tidemark.sources.scratch import materialize
 
 SYMBOLS = b"#*$%&|<>"
@@ -62,15 +64,14 @@ class FertilityRules:
     bands: dict[str, Band] = field(default_factory=lambda: dict(BANDS))
     # Below so many tokens entropy says little.
     least_tokens: int = 20
-    # Symbols per hundred words, as in published filters of web text; vocabularies hold
-    # runs of symbols as pieces of their own, so fertility alone does not show them.
-    most_symbols_percent: int = 10
-    # Lower limits are these shares of the measures' quantile over a script's documents:
-    # junk stays below while it is less than that part of them. Evenness falls with
-    # length, so its margin is wider. Scripts of few documents keep the wide bands.
+    # Characters per token of the many-language vocabulary: so many times the distance of
+    # the quartiles below the lower one. Beyond the usual fence for outliers (1.5), as
+    # lengths differ and one prose document in a few thousand may go.
+    fence: float = 2.0
+    # Evenness falls with length, so its limit is a share of a low quantile.
     low_quantile: float = 0.05
-    chars_margin: float = 0.87
     evenness_margin: float = 0.8
+    # Languages of fewer documents keep the wide bands.
     least_documents: int = 100
 
 
@@ -78,14 +79,23 @@ class Fertility:
     """Pieces of words under a vocabulary with byte fallback, each word looked up once.
 
     A vocabulary marks word starts, so words are encoded one by one; what is kept is
-    bounded: at `most_kept` words all of it is dropped.
+    bounded: at `most_kept` words all of it is dropped. `ranks` is the many-language
+    vocabulary in the form of tiktoken.
     """
 
     most_kept = 200_000
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, ranks: bytes):
+        import public_tokenizers
         import sentencepiece
-
+        import tiktoken
+
+        lines = (line.split() for line in ranks.splitlines())
+        self.many = tiktoken.Encoding(
+            "many", pat_str=public_tokenizers.PATTERN, special_tokens={},
+            mergeable_ranks={base64.b64decode(piece): int(rank) for piece, rank in lines},
+        )
+        self.many_tokens: dict[bytes, int] = {}
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.bytes_first = self.pieces.piece_to_id("<0x00>")
         self.size = self.pieces.get_piece_size()
@@ -98,19 +108,25 @@ class Fertility:
         if new:
             if len(known) + len(new) > self.most_kept:
                 known.clear()
+                self.many_tokens.clear()
                 new = list(words)
             texts = [word.decode("utf-8", "replace") for word in new]
             for word, ids in zip(new, self.pieces.encode(texts, num_threads=1)):
                 known[word] = array("i", ids).tobytes()
+            for word, text in zip(new, texts):
+                self.many_tokens[word] = len(self.many.encode_ordinary(f" {text}"))
         return list(map(known.__getitem__, words))
 
-    def measures(self, counts: Counter) -> tuple[int, int, float]:
-        """Tokens, byte tokens and evenness of a text given as its words' counts."""
+    def measures(self, counts: Counter) -> tuple[int, int, float, int]:
+        """Tokens, byte tokens and evenness of a text given as its words' counts, and
+        the tokens of the many-language vocabulary."""
         if not counts:
-            return 0, 0, 0.0
+            return 0, 0, 0.0, 0
         parts = self.ids(counts)
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        times = np.repeat(np.fromiter(counts.values(), np.int64, len(parts)), lengths)
+        occurs = np.fromiter(counts.values(), np.int64, len(parts))
+        many = np.fromiter(map(self.many_tokens.__getitem__, counts), np.int64, len(parts))
+        times = np.repeat(occurs, lengths)
         ids = np.frombuffer(b"".join(parts), np.int32)
         total = int(times.sum())
         is_byte = (ids >= self.bytes_first) & (ids < self.bytes_first + 256)
@@ -119,7 +135,8 @@ class Fertility:
         share = np.add.reduceat(times[order], starts) / max(total, 1)
         entropy = float(-(share * np.log2(share)).sum())
         highest = np.log2(min(total, self.size)) if total > 1 else 1.0
-        return total, int(times[is_byte].sum()), entropy / float(highest)
+        evenness = entropy / float(highest)
+        return total, int(times[is_byte].sum()), evenness, int((many * occurs).sum())
 
 
 # First code point of a range, and its class, up to the next.
@@ -217,12 +234,14 @@ SCHEMA = pa.schema(
         ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("script", pa.string()),
         ("n_tokens", pa.int64()), ("chars_per_token", pa.float64()),
         ("fallback_share", pa.float64()), ("evenness", pa.float64()), ("reason", pa.string()),
+        ("many_tokens", pa.int64()), ("many_chars_per_token", pa.float64()),
     ]
 )
 SCHEMA_DDL = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint,"
     " n_repeat_words bigint, base_failed boolean, kept boolean, script string, n_tokens bigint,"
-    " chars_per_token double, fallback_share double, evenness double, reason string"
+    " chars_per_token double, fallback_share double, evenness double, reason string,"
+    " many_tokens bigint, many_chars_per_token double"
 )
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -235,131 +254,179 @@ def judge(text: bytes, fertility: Fertility, rules: FertilityRules) -> tuple:
     symbols = sum(text.count(bytes([c])) for c in SYMBOLS)
     repeated = repeated_words(words)
     failed = base_failed(len(words), repeated)
-    tokens, fallback, evenness = fertility.measures(Counter(words))
+    tokens, fallback, evenness, many = fertility.measures(Counter(words))
     script = script_of(decoded)
     reason = verdict(script, word_chars, tokens, fallback, evenness, rules)
-    if not reason and 100 * symbols > rules.most_symbols_percent * len(words):
-        reason = "many symbols"
     return (
         len(words), word_chars, symbols, duplicate_lines(text), repeated, failed,
         not failed and not reason, script, tokens, word_chars / tokens if tokens else 0.0,
         fallback / tokens if tokens else 0.0, evenness, reason,
+        many, word_chars / many if many else 0.0,
     )
 
 
-def fitted_bands(measured: DataFrame, rules: FertilityRules) -> dict[str, Band]:
-    """Bands with lower limits from all rows (script, n_tokens, chars_per_token, evenness,
-    kept) that pass the wide ones. Quantiles come from counts in steps of a thousandth, so
-    they do not depend on how rows are dealt out."""
+@dataclass(frozen=True)
+class Limits:
+    """Lower limits of a language, from its documents."""
+
+    many_chars_per_token: float
+    evenness: float
+
+
+def _quantile(times: Counter, share: float) -> float:
+    """The smallest step that so large a share of the rows does not exceed."""
+    places = sorted(times)
+    below = np.cumsum([times[place] for place in places])
+    return places[int(np.searchsorted(below, share * below[-1]))] / 1000
+
+
+def group_of(lang: Column, script: Column) -> Column:
+    """Whose limits a text has to meet: its language's, else its script's."""
+    return F.coalesce(lang, F.concat(F.lit("script "), script))
+
+
+def fitted_limits(measured: DataFrame, rules: FertilityRules) -> dict[str, Limits]:
+    """Limits of each group from all rows (group, n_tokens, many_chars_per_token, evenness,
+    kept) that pass the wide bands. Quantiles come from counts in steps of a thousandth,
+    so they do not depend on how rows are dealt out."""
     some = measured.where(F.col("kept") & (F.col("n_tokens") >= rules.least_tokens))
     measures = F.explode(
-        F.create_map(F.lit("chars"), "chars_per_token", F.lit("evenness"), "evenness")
+        F.create_map(F.lit("chars"), "many_chars_per_token", F.lit("evenness"), "evenness")
     ).alias("measure", "value")
     step = F.floor(F.col("value") * 1000).alias("step")
     steps = (
-        some.select("script", measures)
-        .groupBy("script", "measure", step)
+        some.select("group", measures)
+        .groupBy("group", "measure", step)
         .agg(F.count(F.lit(1)).alias("rows"))
         .collect()
     )
-    counts: dict[tuple[str, str], Counter] = {}
+    counts: dict[str, dict[str, Counter]] = {}
     for row in steps:
-        counts.setdefault((row["script"], row["measure"]), Counter())[row["step"]] = row["rows"]
-    bands = dict(rules.bands)
-    for (script, measure), times in counts.items():
-        places = sorted(times)
-        below = np.cumsum([times[place] for place in places])
-        if below[-1] < rules.least_documents:
+        of = counts.setdefault(row["group"], {"chars": Counter(), "evenness": Counter()})
+        of[row["measure"]][row["step"]] = row["rows"]
+    limits = {}
+    for group, times in counts.items():
+        if times["chars"].total() < rules.least_documents:
             continue
-        low = places[int(np.searchsorted(below, rules.low_quantile * below[-1]))] / 1000
-        band = bands[script]
-        if measure == "chars":
-            least = max(band.least_chars_per_token, rules.chars_margin * low)
-            bands[script] = replace(band, least_chars_per_token=least)
-        else:
-            least = max(band.least_evenness, rules.evenness_margin * low)
-            bands[script] = replace(band, least_evenness=least)
-    return bands
-
-
-def _reason(bands: dict[str, Band], rules: FertilityRules, inside: str = "") -> Column:
+        low, high = (_quantile(times["chars"], share) for share in (0.25, 0.75))
+        limits[group] = Limits(
+            low - rules.fence * (high - low),
+            rules.evenness_margin * _quantile(times["evenness"], rules.low_quantile),
+        )
+    return limits
+
+
+def _reason(limits: dict[str, Limits], rules: FertilityRules, inside: str = "") -> Column:
     """The reason, or that of the first fitted limit that a row breaks. The measures are
     columns, or fields of the column `inside`."""
-    names = ["reason", "script", "word_chars", "n_tokens", "evenness"]
-    before, of, chars, tokens, evenness = (F.col(inside + name) for name in names)
-    reason = before
-    for script, band in bands.items():
-        few = chars < band.least_chars_per_token * tokens
-        uneven = (tokens >= rules.least_tokens) & (evenness < band.least_evenness)
-        own = (before == "") & (of == script)
-        reason = (
-            F.when(own & few, "few characters a token")
-            .when(own & uneven, "few different tokens")
-            .otherwise(reason)
-        )
-    return reason
+    names = ["reason", "group", "many_chars_per_token", "n_tokens", "evenness"]
+    before, group, chars, tokens, evenness = (F.col(inside + name) for name in names)
+    if not limits:
+        return before
+    pairs = [F.lit(part) for g, one in limits.items() for part in (g, one.many_chars_per_token)]
+    least_chars = F.create_map(*pairs)[group]
+    pairs = [F.lit(part) for g, one in limits.items() for part in (g, one.evenness)]
+    least_even = F.create_map(*pairs)[group]
+    enough = (before == "") & (tokens >= rules.least_tokens)
+    return (
+        F.when(enough & (chars < least_chars), "few characters a token for the language")
+        .when(enough & (evenness < least_even), "few different tokens for the language")
+        .otherwise(before)
+    )
+
+
+def _vocabularies(docs: DataFrame, model_path: str, ranks_path: str):
+    """Both files, read by the driver and sent to the tasks."""
+    context = docs.sparkSession.sparkContext
+    for path in (model_path, ranks_path):
+        with open(path, "rb") as file:
+            yield context.broadcast(file.read())
 
 
 def measure_quality(
     docs: DataFrame,
     model_path: str,
+    ranks_path: str,
     rules: FertilityRules | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lang_col: str = "lang",
 ) -> DataFrame:
     """One row per document: base measures, fertility measures, kept and the reason.
 
-    The vocabulary is a sentencepiece file with byte fallback, read by the driver. Words
-    are runs of other bytes than space, tab, line feed, vertical tab, form feed and
-    carriage return. A null or empty text has no words and fails; repeated rows and null
-    ids stay as they are; other columns are not read; an empty table gives an empty
-    result. Texts are measured when this is called; only counts of measures are shuffled,
-    from which the lower limits of each script follow.
+    The vocabularies are a sentencepiece file with byte fallback and a tiktoken file of many
+    languages. Words are runs of other bytes than space, tab, line feed, vertical tab, form
+    feed and carriage return. A null or empty text has no words and fails; a text without
+    a language meets the limits of its script; repeated rows and null ids stay as they
+    are; other columns are not read; an empty table gives an empty result. Texts are
+    measured when this is called; only counts of measures are shuffled, from which the
+    lower limits of each language follow.
     """
     rules = rules or FertilityRules()
-    with open(model_path, "rb") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+    model, ranks = _vocabularies(docs, model_path, ranks_path)
+    schema = pa.schema([*SCHEMA, pa.field("lang", pa.string())])
 
     def judge_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(model.value)
-        for ids, texts in documents_of(batches):
-            rows = ((i, *judge(text, fertility, rules)) for i, text in zip(ids, texts))
-            yield from in_batches(SCHEMA, rows)
-
-    rows = id_and_text(docs, id_col, text_col).mapInArrow(judge_all, SCHEMA_DDL)
-    measured, _ = materialize(rows, "fertility")
-    reason = _reason(fitted_bands(measured, rules), rules)
+        fertility = Fertility(model.value, ranks.value)
+        for batch in in_parts(batches):
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            ids, langs = (batch.column(name).to_pylist() for name in ("doc_id", "lang"))
+            rows = (
+                (doc_id, *judge(text or b"", fertility, rules), lang)
+                for doc_id, text, lang in zip(ids, texts, langs)
+            )
+            yield from in_batches(schema, rows)
+
+    read = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        F.col(lang_col).cast("string").alias("lang"),
+    )
+    rows = read.mapInArrow(judge_all, f"{SCHEMA_DDL}, lang string")
+    group = group_of(F.col("lang"), F.col("script"))
+    measured, _ = materialize(rows.withColumn("group", group).drop("lang"), "fertility")
+    reason = _reason(fitted_limits(measured, rules), rules)
     return measured.withColumns({"kept": F.col("kept") & (reason == ""), "reason": reason})
 
 
-def keep_good(docs: DataFrame, model_path: str, rules: FertilityRules | None = None) -> DataFrame:
-    """The rows whose text is kept, all columns as they are. What passes the wide bands is
-    stored beside its measures when this is called, so each text is measured once."""
+def keep_good(
+    docs: DataFrame,
+    model_path: str,
+    ranks_path: str,
+    rules: FertilityRules | None = None,
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """The rows whose text is kept, all columns as they are.
+
+    Nulls, empty tables and repeated rows are treated as by `measure_quality`; names of
+    columns are free. What passes the wide bands is stored beside its measures when this is
+    called, so each text is measured once."""
     rules = rules or FertilityRules()
-    with open(model_path, "rb") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
-    names = ["kept", "word_chars", "n_tokens", "chars_per_token", "evenness", "script", "reason"]
+    model, ranks = _vocabularies(docs, model_path, ranks_path)
+    names = ["kept", "n_tokens", "many_chars_per_token", "evenness", "script", "reason"]
     places = [SCHEMA.get_field_index(name) - 1 for name in names]
-    fields = pa.struct([SCHEMA.field(name) for name in names])
-    types = dict(part.split() for part in SCHEMA_DDL.split(", "))
+    fields = pa.struct([*(SCHEMA.field(name) for name in names), pa.field("group", pa.string())])
+    types = dict(part.split() for part in SCHEMA_DDL.split(", ")) | {"group": "string"}
     own = "fertility_measures"
     while own in docs.columns:
         own += "_"
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(model.value)
+        fertility = Fertility(model.value, ranks.value)
         for batch in in_parts(batches):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            texts = batch.column(text_col).cast(pa.binary()).to_pylist()
             rows = []
-            for text in texts:
+            for text, lang in zip(texts, batch.column(lang_col).to_pylist()):
                 judged = judge(text or b"", fertility, rules)
-                rows.append(dict(zip(names, (judged[place] for place in places))))
+                row = dict(zip(names, (judged[place] for place in places)))
+                row["group"] = f"script {row['script']}" if lang is None else str(lang)
+                rows.append(row)
             kept = pa.array([row["kept"] for row in rows], pa.bool_())
             yield batch.append_column(own, pa.array(rows, fields)).filter(kept)
 
-    struct = "struct<" + ", ".join(f"{name}: {types[name]}" for name in names) + ">"
+    struct = "struct<" + ", ".join(f"{name}: {types[name]}" for name in [*names, "group"]) + ">"
     schema = docs.select("*", F.lit(None).cast(struct).alias(own)).schema
     stored, _ = materialize(docs.mapInArrow(measure, schema), "fertility-kept")
-    bands = fitted_bands(stored.select(f"{own}.*"), rules)
-    good = _reason(bands, rules, f"{own}.") == ""
-    return stored.where(good).drop(own)
+    limits = fitted_limits(stored.select(f"{own}.*"), rules)
+    return stored.where(_reason(limits, rules, f"{own}.") == "").drop(own)

@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 # Vocabularies, by file name in the folder of public tokenizers.
 PIECES = "piece_bpe_32k.model"
 WORD_PIECES = "word_bpe_49k.json"
+MANY_LANGUAGES = "byte_bpe_multi_50k.tiktoken"
 
 
 def vocabulary(name: str) -> str:
@@ -58,7 +59,9 @@ def op5_jump_sharding(spark, sf_dir):
 
 @query
 def op7_fertility_quality(spark, sf_dir):
-    return measure_quality(documents(spark, sf_dir), vocabulary(PIECES))
+    return measure_quality(
+        documents(spark, sf_dir), vocabulary(PIECES), vocabulary(MANY_LANGUAGES)
+    )
 
 
 @query
