@@ -65,6 +65,21 @@ def scratch_scope(spark: SparkSession):
             delete_path(spark, path)
 
 
+@contextmanager
+def recorded_scratch():
+    """The list that scratch paths made within are added to; deleting them is up to the
+    caller."""
+    paths: list[str] = []
+    outer = _scope.get()
+    token = _scope.set(paths)
+    try:
+        yield paths
+    finally:
+        _scope.reset(token)
+        if outer is not None:
+            outer.extend(paths)
+
+
 def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """Write `df` once; return it as a table read, and its number of rows.
 
