@@ -116,3 +116,66 @@ def test_empty(documents, spark):
     assert similar_classes(documents([])).count() == 0
     assert drop_similar(documents([])).count() == 0
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def edited(words, place):
+    return " ".join([*words[:place], "edited", *words[place + 1 :]])
+
+
+def chain(seed, length=120):
+    """Three texts of which the first and the last only link through the middle one."""
+    words = [f"c{seed}x{i}" for i in range(length)]
+    first = edited(words, 10)
+    middle = edited(first.split(), 60)
+    return first, middle, edited(edited(middle.split(), 100).split(), 30)
+
+
+@pytest.mark.parametrize("bridge", [None, 2])
+def test_a_text_without_an_id_bridges_two(documents, bridge):
+    a, b, c = chain(1)
+    rows = [(1, a), (bridge, b), (3, c), (bridge, b), (9, "another text of its own")]
+    rules = JoinRules(4, 85)
+    got = similar_classes(documents(rows), rules).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute(rows, rules), key=str)
+    assert [r.component_id for r in got if r.doc_id in (1, bridge, 3)] == [1] * 4
+
+
+def test_every_class_keeps_one_row_whatever_its_ids(documents):
+    x, y, z = (chain(seed)[0] for seed in (4, 5, 6))
+    rows = [(5, x), (8, x), (2, y), (5, y), (None, z), (None, z), (None, z), (None, None), (7, ""), (7, "")]
+    kept = sorted(((r.doc_id, r.text) for r in drop_similar(documents(rows)).collect()), key=str)
+    assert kept == sorted([(5, x), (2, y), (None, z), (None, None), (7, ""), (7, "")], key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_dropping_against_brute_force(documents, seed):
+    """Null ids, repeated ids and copies at random: of each class one row, the smallest id."""
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, rng.randint(0, 30)]), text) for _, text in near_copies(seed, 4, 8)]
+    rows += rng.choices(rows, k=12)
+    rules = JoinRules(5, 80)
+    numbered = [(i, text) for i, (_, text) in enumerate(rows)]
+    group = [c for _, _, c in brute(numbered, rules)]
+    kept = drop_similar(documents(rows), rules).collect()
+    by_text = {}
+    for (_, text), g in zip(rows, group):
+        by_text[text] = g
+    assert sorted(by_text[r.text] for r in kept) == sorted(set(group))
+    for row in kept:
+        ids = [i for (i, _), g in zip(rows, group) if g == by_text[row.text] and i is not None]
+        assert row.doc_id == (min(ids) if ids else None)
+
+
+def test_names_of_columns_are_free(spark):
+    names = ["other_id", "own_id", "listed_id", "own_node", "own_place", "class", "of_class", "kept_id", "id"]
+    rows = [(1, "a b c d e f", *names), (1, "a b c d e f", *names), (2, "A b c d e f", *names), (None, "x", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = drop_similar(docs)
+    assert kept.schema == docs.schema
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "None"]
+
+
+def test_a_third_of_all_rows_without_an_id(documents):
+    rows = [(None, "the same words stand here many times over")] * 400
+    rows += [(i, f"text number {i} with words of its own {i}") for i in range(800)]
+    assert drop_similar(documents(rows)).count() == 801

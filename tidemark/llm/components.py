@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.scratch import materialize
+from tidemark.sources.scratch import delete_path, materialize
+
+
+def drop_table(stored: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in stored.inputFiles()}:
+        delete_path(stored.sparkSession, folder)
 
 
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -44,5 +50,7 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
         )
         stored, _ = materialize(step, f"{name}-labels")
         changed = stored.where("changed").limit(1).count()
+        drop_table(labels)
         labels = stored.select("node", "label")
+    drop_table(edges)
     return labels.select("node", F.col("label").alias("component"))

@@ -18,14 +18,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import documents_of, id_and_text, in_batches, in_parts
-from tidemark.llm.components import connected_components
+from tidemark.llm.components import connected_components, drop_table
 from tidemark.llm.lookup import most_frequent
 from tidemark.llm.shingle_sets import Shingler, mixed, set_number
-from tidemark.sources.scratch import materialize
+from tidemark.sources.scratch import (
+    materialize,
+    scratch_path,
+    scratch_scope,
+    write_counted,
+)
 
 
 @dataclass(frozen=True)
@@ -241,6 +246,10 @@ def _verified(
     )
     few = count <= rules.broadcast_ids
     chosen = rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    # Nodes that only rows without an id hold are found among all of those.
+    unnamed = not ids.where("doc_id is null").isEmpty()
+    if unnamed:
+        chosen = chosen.union(rows.where("doc_id is null"))
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rules.width)
@@ -250,6 +259,8 @@ def _verified(
             yield from in_batches(schema, ((set_number(s), s.tobytes()) for s in sets))
 
     sets = chosen.mapInArrow(read, "node bigint, tokens binary")
+    if unnamed:
+        sets = sets.dropDuplicates(["node"])
     return _kept_pairs(_with_both(passed, sets, ["tokens"]), ["tokens_a", "tokens_b"], _do_link(rules))
 
 
@@ -261,10 +272,21 @@ def similar_classes(
 
     A text without words (or null) has no shingles and links with nothing. Rows with
     equal sets belong together, repeated rows too. A null doc_id takes part, but is
-    never the smallest. Other columns are not read; an empty table gives an empty result.
-    Work starts when this is called. Sets and tokens are told apart by 64-bit hashes.
+    never the smallest; a class of such rows alone has no component_id. Other columns
+    are not read; an empty table gives an empty result. Work starts when this is called.
+    Sets and tokens are told apart by 64-bit hashes.
     """
-    rules = rules or JoinRules()
+    sets, by_node = _classes(docs, rules or JoinRules(), id_col, text_col)
+    return (
+        sets.join(by_node, "node", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    )
+
+
+def _classes(
+    docs: DataFrame, rules: JoinRules, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """doc_id, node, n_shingles of every row; node, class, component_id of every node."""
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
     read, _ = materialize(_read_sets(rows, rules), "ngram-sets")
@@ -326,42 +348,119 @@ def similar_classes(
         .select(F.col("one.node").alias("a"), F.col("other.node").alias("b"))
         .distinct()
     )
-    more = _verified(across, prefixes, rows, nodes, rules)
+    more, _ = materialize(_verified(across, prefixes, rows, nodes, rules), "ngram-more")
+    # What the rest does not read goes, so that a run needs less disk at once.
+    drop_table(buckets)
+    drop_table(prefixes)
     all_links = links.select("a", "b").union(more)
     final = connected_components(all_links, "ngram-all")
     named = nodes.join(final, "node", "left").withColumn("class", F.coalesce("component", "node"))
     smallest = named.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    by_node = named.join(smallest, "class").select("node", "component_id")
-    return (
-        sets.join(by_node, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    )
+    return sets, named.join(smallest, "class").select("node", "class", "component_id")
+
+
+def _fresh(name: str, taken: list[str]) -> str:
+    """The name, or a longer one that no column has."""
+    lower = {column.lower() for column in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
 
 
 def drop_similar(
     docs: DataFrame, rules: JoinRules | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The same table with one document of each class left: the one with the smallest
-    id, and one row of it where its id is repeated. An id names one document: rows with
-    the id of a document that goes all go. A row without an id stays."""
+    """The same table with one row of each class left: one with the smallest id (rows
+    without an id come last), and of several with that id and one set any one, by the hash of
+    its columns.
+
+    Rows are judged by their text, not by their id: of two texts under one id each belongs
+    to its own class, and rows without an id are copies like others. Texts without words
+    and null ones are no copies of anything and all stay. Names of columns are free; an
+    empty table gives an empty one. All tables made on the way are deleted when this returns,
+    but for the lists of ids that go.
+    """
     rules = rules or JoinRules()
-    key = F.col(id_col).cast("long")
-    classes, _ = materialize(similar_classes(docs, rules, id_col, text_col), "ngram-classes")
-    others, count = materialize(
-        classes.where("doc_id <> component_id").select(F.col("doc_id").alias("other_id")).distinct(),
-        "ngram-dropped",
+    spark = docs.sparkSession
+    # Outside the scope, so that they outlive it.
+    lists = {name: scratch_path(spark, f"ngram-{name}") for name in ("losers", "unclear", "winners")}
+    counts: dict[str, int] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        counts[name] = write_counted(df, lambda counted: counted.write.parquet(lists[name]))
+        return spark.read.schema(df.schema).parquet(lists[name])
+
+    with scratch_scope(spark):
+        sets, by_node = _classes(docs, rules, id_col, text_col)
+        placed, _ = materialize(
+            sets.join(by_node.select("node", "class"), "node", "left").select("doc_id", "node", "class"),
+            "ngram-placed",
+        )
+        first = (
+            placed.where("class is not null")
+            .groupBy("class")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
+            .select("class", F.col("first.doc_id").alias("kept_id"), F.col("first.node").alias("kept_node"))
+        )
+        per_id = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+        unclear = store(
+            "unclear", per_id.where("rows > 1 or doc_id is null").select(F.col("doc_id").alias("id"))
+        )
+        lost = placed.join(first, "class").where("not (doc_id <=> kept_id)")
+        store("losers", lost.where("doc_id is not null").select(F.col("doc_id").alias("id")).distinct())
+        if counts["unclear"]:
+            store("winners", first.select(F.col("class").alias("of_class"), "kept_id", "kept_node"))
+    losers = spark.read.schema("id bigint").parquet(lists["losers"])
+
+    own = _fresh("own_id", docs.columns)
+    keyed = docs.withColumn(own, F.col(id_col).cast("long"))
+
+    def listed(table: DataFrame, name: str) -> DataFrame:
+        named = table.select(F.col("id").alias(name))
+        return F.broadcast(named) if counts["losers"] + counts["unclear"] <= rules.broadcast_ids else named
+
+    other = _fresh("listed_id", keyed.columns)
+    if not counts["unclear"]:
+        gone = listed(losers, other)
+        return keyed.join(gone, F.col(own) == F.col(other), "left_anti").select(*docs.columns)
+    single = (
+        keyed.where(F.col(own).isNotNull())
+        .join(listed(unclear.where("id is not null"), other), F.col(own) == F.col(other), "left_anti")
+        .join(listed(losers, other), F.col(own) == F.col(other), "left_anti")
+        .select(*docs.columns)
     )
-    few = count <= rules.broadcast_ids
-    kept = docs.join(F.broadcast(others) if few else others, key == F.col("other_id"), "left_anti")
-    repeated = (
-        classes.groupBy(F.col("doc_id").alias("other_id"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where("rows > 1 and other_id is not null")
-        .select("other_id")
+    # Rows whose id is repeated or missing are told apart by their set.
+    several = keyed.join(
+        listed(unclear, other), F.col(own).eqNullSafe(F.col(other)), "left_semi"
+    )
+    winners = spark.read.schema("of_class bigint, kept_id bigint, kept_node bigint").parquet(lists["winners"])
+    return single.union(_one_of_each(several, winners, rules, own, text_col).select(*docs.columns))
+
+
+def _one_of_each(
+    rows: DataFrame, winners: DataFrame, rules: JoinRules, own: str, text_col: str
+) -> DataFrame:
+    """Rows without a set, and of each class one row with the kept id and set."""
+    node = _fresh("own_node", rows.columns)
+    schema = rows.select("*", F.lit(None).cast("bigint").alias(node)).schema
+
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(rules.width)
+        for batch in in_parts(batches):
+            texts = batch.column(text_col).cast(pa.binary()).to_pylist()
+            sets = (shingler.shingles(text or b"") for text in texts)
+            nodes = [set_number(tokens) if len(tokens) else None for tokens in sets]
+            yield batch.append_column(node, pa.array(nodes, pa.int64()))
+
+    marked = rows.mapInArrow(mark, schema)
+    free = {name: _fresh(name, marked.columns) for name in winners.columns}
+    kept = winners.withColumnsRenamed(free)
+    place = _fresh("own_place", marked.columns)
+    chosen = marked.join(
+        kept,
+        (F.col(node) == F.col(free["kept_node"])) & F.col(own).eqNullSafe(F.col(free["kept_id"])),
     )
-    repeated, count = materialize(repeated, "ngram-repeated")
-    if not count:
-        return kept
-    single = kept.join(repeated, key == F.col("other_id"), "left_anti")
-    several = kept.join(repeated, key == F.col("other_id"), "left_semi")
-    return single.union(several.dropDuplicates([id_col]))
+    # Equal rows have equal hashes, and it is one whichever of them stays.
+    within = Window.partitionBy(free["of_class"]).orderBy(F.xxhash64(*[f"`{c}`" for c in rows.columns]))
+    one = chosen.withColumn(place, F.row_number().over(within)).where(F.col(place) == 1)
+    return marked.where(F.col(node).isNull()).select(*rows.columns).union(one.select(*rows.columns))
