@@ -79,11 +79,11 @@ class Fertility:
     """Pieces of words under a vocabulary with byte fallback, each word looked up once.
 
     A vocabulary marks word starts, so words are encoded one by one; what is kept is
-    bounded: at `most_kept` words all of it is dropped. `ranks` is the many-language
-    vocabulary in the form of tiktoken.
+    bounded by twice `most_kept` words. `ranks` is the many-language vocabulary in the form
+    of tiktoken.
     """
 
-    most_kept = 200_000
+    most_kept = 250_000
 
     def __init__(self, model: bytes, ranks: bytes):
         import public_tokenizers
@@ -95,37 +95,43 @@ class Fertility:
             "many", pat_str=public_tokenizers.PATTERN, special_tokens={},
             mergeable_ranks={base64.b64decode(piece): int(rank) for piece, rank in lines},
         )
-        self.many_tokens: dict[bytes, int] = {}
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.bytes_first = self.pieces.piece_to_id("<0x00>")
         self.size = self.pieces.get_piece_size()
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, tuple[bytes, int]] = {}
+        self.older: dict[bytes, tuple[bytes, int]] = {}
 
-    def ids(self, words: Iterable[bytes]) -> list[bytes]:
-        """Each word's ids as 32-bit integers, one after the other; new words together."""
+    def of_words(self, words: Counter) -> list[tuple[bytes, int]]:
+        """Each word's ids as 32-bit integers, one after the other, and its tokens in the
+        many-language vocabulary; new words together."""
         known = self.known
-        new = [word for word in words if word not in known]
+        new = []
+        for word in [word for word in words if word not in known]:
+            found = self.older.get(word)
+            if found is None:
+                new.append(word)
+            else:
+                known[word] = found
         if new:
-            if len(known) + len(new) > self.most_kept:
-                known.clear()
-                self.many_tokens.clear()
-                new = list(words)
             texts = [word.decode("utf-8", "replace") for word in new]
-            for word, ids in zip(new, self.pieces.encode(texts, num_threads=1)):
-                known[word] = array("i", ids).tobytes()
-            for word, text in zip(new, texts):
-                self.many_tokens[word] = len(self.many.encode_ordinary(f" {text}"))
-        return list(map(known.__getitem__, words))
+            many = self.many.encode_ordinary
+            for word, text, ids in zip(new, texts, self.pieces.encode(texts, num_threads=1)):
+                known[word] = array("i", ids).tobytes(), len(many(f" {text}"))
+        found = list(map(known.__getitem__, words))
+        if len(known) >= self.most_kept:
+            # The half that is not asked for again goes when the next is full.
+            self.older, self.known = known, {}
+        return found
 
     def measures(self, counts: Counter) -> tuple[int, int, float, int]:
         """Tokens, byte tokens and evenness of a text given as its words' counts, and
         the tokens of the many-language vocabulary."""
         if not counts:
             return 0, 0, 0.0, 0
-        parts = self.ids(counts)
+        parts, many = zip(*self.of_words(counts))
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         occurs = np.fromiter(counts.values(), np.int64, len(parts))
-        many = np.fromiter(map(self.many_tokens.__getitem__, counts), np.int64, len(parts))
+        many = np.array(many)
         times = np.repeat(occurs, lengths)
         ids = np.frombuffer(b"".join(parts), np.int32)
         total = int(times.sum())
