@@ -14,7 +14,9 @@ lower limits, and the texts below are rejected too. No labels are used.
 from __future__ import annotations
 
 import base64
+import re
 import unicodedata
+import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -83,7 +85,7 @@ class Fertility:
     of tiktoken.
     """
 
-    most_kept = 250_000
+    most_kept = 350_000
 
     def __init__(self, model: bytes, ranks: bytes):
         import public_tokenizers
@@ -145,6 +147,18 @@ class Fertility:
         return total, int(times[is_byte].sum()), evenness, int((many * occurs).sum())
 
 
+# One for each pair of vocabularies; a worker keeps its words from task to task.
+_shared: dict[tuple[int, int], Fertility] = {}
+
+
+def shared_fertility(model: bytes, ranks: bytes) -> Fertility:
+    key = zlib.crc32(model), zlib.crc32(ranks)
+    if key not in _shared:
+        _shared.clear()
+        _shared[key] = Fertility(model, ranks)
+    return _shared[key]
+
+
 # First code point of a range, and its class, up to the next.
 _RANGES = (
     (0x0041, "Latin"), (0x0250, "other alphabet"), (0x0370, "Greek"), (0x0400, "Cyrillic"),
@@ -156,10 +170,15 @@ _RANGES = (
 _FIRST = np.array([first for first, _ in _RANGES])
 
 
+# Below the second range all letters are of the first.
+_BEYOND_LATIN = re.compile("[\u0250-\U0010ffff]")
+_LETTER = re.compile(r"[^\W\d_²³¹¼½¾]")
+
+
 def script_of(text: str) -> str:
     """The script class of most letters; "none" without letters. Ties go by name."""
-    if text.isascii():
-        return "Latin" if any(map(str.isalpha, text)) else "none"
+    if not _BEYOND_LATIN.search(text):
+        return "Latin" if _LETTER.search(text) else "none"
     counts: Counter = Counter()
     for char, times in Counter(text).items():
         if unicodedata.category(char)[0] == "L":
@@ -175,10 +194,7 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """
     if len(words) <= window:
         return 0
-    numbers: dict[bytes, int] = {}
-    for word in words:
-        if word not in numbers:
-            numbers[word] = len(numbers)
+    numbers = {word: number for number, word in enumerate(set(words))}
     codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     # Equal windows have equal sums; without equal sums nothing is repeated.
     last = len(words) - window + 1
@@ -373,7 +389,7 @@ def measure_quality(
     schema = pa.schema([*SCHEMA, pa.field("lang", pa.string())])
 
     def judge_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(model.value, ranks.value)
+        fertility = shared_fertility(model.value, ranks.value)
         for batch in in_parts(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             ids, langs = (batch.column(name).to_pylist() for name in ("doc_id", "lang"))
@@ -419,7 +435,7 @@ def keep_good(
         own += "_"
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(model.value, ranks.value)
+        fertility = shared_fertility(model.value, ranks.value)
         for batch in in_parts(batches):
             texts = batch.column(text_col).cast(pa.binary()).to_pylist()
             rows = []
