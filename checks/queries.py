@@ -19,6 +19,7 @@ from tidemark.plans.batch import run_batch as run_medallion
 from tidemark.plans.incremental import refresh_silver
 from tidemark.plans.layout import Lake
 from tidemark.plans.quarantine import read_rejects, write_judged
+from tidemark.plans.states import gold_from_states, refresh_states
 from tidemark.rules import DEFAULT_RULES
 from tidemark.session import (
     READ_BYTES,
@@ -31,7 +32,7 @@ from tidemark.sources.bronze import compact_bronze, vacuum_bronze
 from tidemark.sources.messages import decode, parse_events
 from tidemark.sources.scratch import scratch_path
 from tidemark.sources.tables import overwrite_table, read_table, table_bytes
-from tidemark.streaming import ingest, runner, trends
+from tidemark.streaming import ingest, late, runner, trends
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -255,8 +256,8 @@ def late_data(spark, sf_dir):
     """
     folder = scratch_path(spark, "stream-late")
     rows = bronze(spark, sf_dir)
-    late = F.col("location") == "City5"
-    for arriving in (rows.filter(~late), rows.filter(late)):
+    of_city = F.col("location") == "City5"
+    for arriving in (rows.filter(~of_city), rows.filter(of_city)):
         fixture.messages(arriving).write.mode("append").text(f"{folder}/topic")
         messages = ingest.read_event_stream(spark, "text", path=f"{folder}/topic")
         events = parse_events(messages, schemas.TREND_MESSAGE)
@@ -269,6 +270,28 @@ def late_data(spark, sf_dir):
     return _rounded_trends(read_table(spark, f"{folder}/t", schema=schemas.TRENDS))
 
 
+@query
+@streaming
+def late_rows(spark, sf_dir):
+    """Every mention that the windows of `late_data` left out, as an audit of the
+    query's checkpoint finds them."""
+    folder = scratch_path(spark, "stream-late-rows")
+    rows = bronze(spark, sf_dir)
+    is_late = F.col("location") == "City5"
+    for arriving in (rows.filter(~is_late), rows.filter(is_late)):
+        fixture.messages(arriving).write.mode("append").text(f"{folder}/topic")
+        messages = ingest.read_event_stream(spark, "text", path=f"{folder}/topic")
+        runner.finish(
+            trends.write_trends(
+                trends.trending_hashtags(parse_events(messages, schemas.TREND_MESSAGE)),
+                f"{folder}/t", f"{folder}/checkpoint", bounded=True,
+            )
+        )
+        late.audit_late(spark, f"{folder}/checkpoint", f"{folder}/late")
+    found = late.read_late(spark, f"{folder}/late").drop("batch")
+    return plain_times(found, "watermark", "window_start", "window_end", "timestamp")
+
+
 @query
 @streaming
 def run_streams(spark, sf_dir):
@@ -791,6 +814,34 @@ def silver_incremental(spark, sf_dir):
     return _comparable_silver(lake.silver(spark))
 
 
+def _gold_by_increments(spark, sf_dir, name):
+    """A gold table merged from states after three loads, each with its own refresh."""
+    lake = Lake(scratch_path(spark, f"states-{name}"))
+    for rows in _arrivals(spark, sf_dir):
+        _arrive(spark, lake, rows, "arrivals")
+        refresh_silver(spark, lake)
+        refresh_states(spark, lake)
+    return untimed(gold_from_states(spark, lake)[name])
+
+
+@query
+@streaming
+def top_hashtags_states(spark, sf_dir):
+    return _gold_by_increments(spark, sf_dir, "top_hashtags")
+
+
+@query
+@streaming
+def user_engagement_states(spark, sf_dir):
+    return _gold_by_increments(spark, sf_dir, "user_engagement")
+
+
+@query
+@streaming
+def hourly_trends_states(spark, sf_dir):
+    return _gold_by_increments(spark, sf_dir, "hourly_trends")
+
+
 @query
 @streaming
 def bronze_compacted(spark, sf_dir):

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import NOON, values
 from tidemark import schemas
-from tidemark.plans import incremental
+from tidemark.plans import incremental, states
 from tidemark.plans.incremental import refresh_silver
 from tidemark.plans.layout import Lake
-from tidemark.plans.medallion import silver_events
+from tidemark.plans.medallion import gold_tables, silver_events
+from tidemark.plans.states import gold_from_states, refresh_states
 from tidemark.sources import tables
 from tidemark.sources.bronze import KIND, compact_bronze, vacuum_bronze, with_kind
 from tidemark.streaming import ingest, runner
@@ -202,3 +203,86 @@ def test_other_formats_are_refused(spark):
 
 def test_kinds_beside_rows(events):
     assert with_kind(events({"event_type": " Post "})).first()[KIND] == "post"
+
+
+def gold(tables):
+    return {name: values(table.drop("processed_at")) for name, table in tables.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_gold_from_states_is_gold_of_silver(spark, events, lake, arrive, seed):
+    """After every increment: events that came, moved to other days, or went."""
+    rng = random.Random(seed)
+    users = [("u1", "ann"), ("u2", "bob"), ("u2", "Bob "), ("u3", None)]
+    for step in range(4):
+        rows = batch(rng, range(20 + 5 * step), 50 if step == 0 else rng.choice([3, 15]))
+        for row in rows:
+            row["user_id"], row["username"] = rng.choice(users)
+            row["device"] = rng.choice(["a", " A", "b", None])
+            row["hashtags"] = rng.choice([None, [], ["x"], ["x", "y"], ["z", None]])
+            row["shares"] = rng.choice([0, 2000])
+            row["ingested_at"] = NOON + timedelta(minutes=10 * step + rng.randrange(3))
+        arrive(events(*rows))
+        refresh_silver(spark, lake)
+        refresh_states(spark, lake)
+        assert gold(gold_from_states(spark, lake)) == gold(gold_tables(lake.silver(spark)))
+        assert refresh_states(spark, lake) == dict.fromkeys(schemas.GOLD, 0)
+
+
+def test_states_of_untouched_days_stay(spark, events, lake, arrive):
+    days = [NOON + timedelta(days=i) for i in range(5)]
+    arrive(events(*[{"event_id": f"d{i}", "timestamp": day} for i, day in enumerate(days)]))
+    refresh_silver(spark, lake)
+    assert refresh_states(spark, lake)["top_hashtags"] == 5
+    first = set(tables.latest_commit(spark, lake.states_path("top_hashtags")).parts)
+    later = NOON + timedelta(hours=1)
+    # One event moves to another day, and the only one of its day turns invalid.
+    arrive(
+        events(
+            {"event_id": "d1", "timestamp": days[2], "ingested_at": later},
+            {"event_id": "d3", "likes": -1, "ingested_at": later},
+        )
+    )
+    refresh_silver(spark, lake)
+    assert refresh_states(spark, lake) == dict.fromkeys(schemas.GOLD, 1)
+    second = set(tables.latest_commit(spark, lake.states_path("top_hashtags")).parts)
+    assert {p.rsplit("=", 1)[1] for p in first & second} == {"2024-01-01", "2024-01-05"}
+    assert {p.rsplit("=", 1)[1] for p in second - first} == {"2024-01-03"}
+    assert gold(gold_from_states(spark, lake)) == gold(gold_tables(lake.silver(spark)))
+
+
+def test_states_after_a_run_that_failed(spark, events, lake, arrive, monkeypatch):
+    arrive(events({"event_id": "a"}))
+    refresh_silver(spark, lake)
+    plain, calls = states.commit_parts, []
+
+    def fails_once(*arguments, **more):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        return plain(*arguments, **more)
+
+    monkeypatch.setattr(states, "commit_parts", fails_once)
+    with pytest.raises(RuntimeError, match="killed"):
+        refresh_states(spark, lake)
+    # The table that was done stays; the others follow.
+    assert refresh_states(spark, lake) == {"top_hashtags": 0, "user_engagement": 1, "hourly_trends": 1}
+    assert gold(gold_from_states(spark, lake)) == gold(gold_tables(lake.silver(spark)))
+
+
+def test_states_need_a_silver_by_day(spark, events, lake, arrive):
+    with pytest.raises(ValueError, match="refresh_silver"):
+        refresh_states(spark, lake)
+    arrive(events({"event_id": "a"}))
+    tables.overwrite_table(silver_events(lake.bronze(spark)), lake.silver_path, ["event_type"])
+    with pytest.raises(ValueError, match="refresh_silver"):
+        refresh_states(spark, lake)
+    refresh_silver(spark, lake)
+    with pytest.raises(ValueError, match="refresh_states"):
+        gold_from_states(spark, lake)
+
+
+def test_states_of_an_empty_silver(spark, lake):
+    refresh_silver(spark, lake)
+    refresh_states(spark, lake)
+    assert all(table.count() == 0 for table in gold_from_states(spark, lake).values())

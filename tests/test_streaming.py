@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from tidemark.plans.batch import run_batch
 from tidemark.plans.layout import Lake
 from tidemark.sources.messages import decode, parse_events, with_instants
 from tidemark.sources.tables import read_table
-from tidemark.streaming import ingest, runner, trends
+from tidemark.streaming import ingest, late, runner, trends
 
 
 @pytest.fixture
@@ -116,6 +117,105 @@ def test_late_rows_are_dropped_by_window_end(spark, topic, tmp_path):
     ]
 
 
+def late_minutes(spark, tmp_path):
+    found = late.read_late(spark, str(tmp_path / "late"))
+    return values(found.selectExpr("date_format(timestamp, 'HH:mm')", "hashtag", "batch"))
+
+
+def test_late_rows_one_by_one(spark, topic, tmp_path):
+    """The case above: those of minutes 1 and 9 and no others, each in its batch."""
+    places = str(tmp_path / "c"), str(tmp_path / "late")
+    assert late.audit_late(spark, *places) == 0
+    topic.send(post(0), post(1), post(6))
+    run_trends(topic, tmp_path)
+    topic.send(post(21))
+    run_trends(topic, tmp_path)
+    assert late.audit_late(spark, *places) == 0
+    topic.send(post(1), post(9), post(12), post(1, event_type="like"), post(2, hashtags=[]), "{bad")
+    progress = run_trends(topic, tmp_path).recentProgress
+    data_batch = next(p["batchId"] for p in progress if p["numInputRows"])
+    assert late.audit_late(spark, *places) == 2
+    assert late_minutes(spark, tmp_path) == [
+        ("12:01", "A", data_batch), ("12:09", "A", data_batch),
+    ]
+    row = late.read_late(spark, str(tmp_path / "late")).orderBy("timestamp").first()
+    assert row["watermark"] == NOON + timedelta(minutes=11)
+    assert row["window_end"] == NOON + timedelta(minutes=5) and row["likes"] == 1
+    # Batches are audited once; what comes later is added.
+    assert late.audit_late(spark, *places) == 0
+    topic.send(post(50), post(3, hashtags=["A", "B"]))
+    run_trends(topic, tmp_path)
+    topic.send(post(12), post(52))
+    run_trends(topic, tmp_path)
+    assert late.audit_late(spark, *places) == 3
+    assert [row[:2] for row in late_minutes(spark, tmp_path)] == [
+        ("12:01", "A"), ("12:03", "A"), ("12:03", "B"), ("12:09", "A"), ("12:12", "A"),
+    ]
+
+
+def test_windows_and_late_rows_are_all_mentions(spark, topic, tmp_path):
+    """Many batches with events out of order: closed windows, open ones and late rows add up."""
+    rng, sent = random.Random(4), []
+    for batch in range(6):
+        minutes = [rng.randint(0, 14 * batch + 8) for _ in range(6)]
+        sent += minutes
+        topic.send(*[post(minute) for minute in minutes])
+        run_trends(topic, tmp_path)
+        late.audit_late(spark, str(tmp_path / "c"), str(tmp_path / "late"))
+    topic.send(post(600))
+    run_trends(topic, tmp_path)
+    counted = sum(row[2] for row in windows(spark, tmp_path))
+    found = late.read_late(spark, str(tmp_path / "late"))
+    assert 0 < found.count() == len(sent) - counted
+    assert found.where("window_end > watermark").count() == 0
+
+
+def test_batches_the_checkpoint_has_forgotten(spark, topic, tmp_path):
+    places = str(tmp_path / "c"), str(tmp_path / "late")
+    for minute in (0, 30, 60):
+        topic.send(post(minute))
+        run_trends(topic, tmp_path)
+    for log in ("offsets", "commits"):
+        for number in (0, 1):
+            (tmp_path / "c" / log / str(number)).unlink()
+    with pytest.raises(late.LostBatches):
+        late.audit_late(spark, *places)
+    assert not (tmp_path / "late").exists()
+
+
+def test_offsets_of_a_topic(spark, monkeypatch):
+    """No broker here: what is asked of the reader, batch by batch."""
+    asked = []
+
+    class Reader:
+        def format(self, name):
+            assert name == "kafka"
+            return self
+
+        def options(self, **given):
+            asked.append(given)
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(b"m",)], "value binary")
+
+    class Session:
+        read = Reader()
+        createDataFrame = staticmethod(spark.createDataFrame)
+
+    batches = [
+        late.Batch(0, 0, None, '{"t":{"0":5}}'), late.Batch(1, 7, '{"t":{"0":5}}', '{"t":{"0":5}}'),
+        late.Batch(2, 9, '{"t":{"0":5}}', '{"t":{"0":8}}'),
+    ]
+    found = late.kafka_messages(Session(), ingest.kafka_options("h:1", "t", maxOffsetsPerTrigger="5"), batches)
+    same = {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "failOnDataLoss": "false"}
+    assert asked == [
+        {**same, "startingOffsets": "earliest", "endingOffsets": '{"t":{"0":5}}'},
+        {**same, "startingOffsets": '{"t":{"0":5}}', "endingOffsets": '{"t":{"0":8}}'},
+    ]
+    assert values(found) == [("m", 0, 0), ("m", 2, 9)]
+
+
 def test_only_mentions_move_event_time(spark, topic, tmp_path):
     others = ({"event_type": "like"}, {"hashtags": []}, {"event_type": " POST "})
     topic.send(post(0), *[post(59, **other) for other in others])

@@ -45,7 +45,7 @@ def _arguments() -> argparse.Namespace:
         help="ingest: any other option of the source (security, minPartitions, ...); repeatable",
     )
     parser.add_argument(
-        "--mode", default=batch.FULL, choices=batch.MODES, help="batch, silver: how silver is made"
+        "--mode", default=batch.FULL, choices=batch.MODES, help="batch, silver, gold: how they are made"
     )
     parser.add_argument(
         "--hours", type=float, default=24.0, help="vacuum: age of the compactions whose files go"
@@ -104,7 +104,7 @@ def main() -> None:
         case "silver":
             print(json.dumps(batch.build_silver(spark, lake, mode=arguments.mode)))
         case "gold":
-            print(json.dumps(batch.build_gold(spark, lake)))
+            print(json.dumps(batch.build_gold(spark, lake, mode=arguments.mode)))
         case "mart":
             print(json.dumps(batch.build_mart(spark, lake)))
         case "check":

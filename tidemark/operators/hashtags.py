@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -22,30 +23,57 @@ def explode_hashtags(df: DataFrame, *carried: str) -> DataFrame:
     return df.select(F.explode("hashtags").alias("hashtag"), *carried)
 
 
+_MEANS = {
+    "avg_likes": "likes",
+    "avg_shares": "shares",
+    "avg_comments": "comments",
+    "avg_engagement": "engagement_score",
+}
+
+
+def _mentions(silver: DataFrame, rules: EngagementRules, *more: str) -> DataFrame:
+    return explode_hashtags(filter_posts(silver, rules), *_MEANS.values(), "is_viral", *more)
+
+
 def hashtag_totals(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> DataFrame:
     """Mentions, mean counters and viral mentions of every tag used in posts."""
-    mentions = explode_hashtags(
-        filter_posts(silver, rules),
-        "likes", "shares", "comments", "engagement_score", "is_viral",
-    )
-    means = {
-        "avg_likes": "likes",
-        "avg_shares": "shares",
-        "avg_comments": "comments",
-        "avg_engagement": "engagement_score",
-    }
-    return mentions.groupBy("hashtag").agg(
+    return _mentions(silver, rules).groupBy("hashtag").agg(
+        F.count(F.lit(1)).alias("total_mentions"),
+        *[engagement.one_decimal(F.avg(c)).alias(name) for name, c in _MEANS.items()],
+        F.sum(engagement.flag(F.col("is_viral"))).alias("viral_count"),
+    )
+
+
+def hashtag_states(
+    silver: DataFrame, rules: EngagementRules = DEFAULT_RULES, by: Sequence[str] = ()
+) -> DataFrame:
+    """Counts and sums of every tag, and of further columns `by`; they can be merged."""
+    return _mentions(silver, rules, *by).groupBy(*by, "hashtag").agg(
         F.count(F.lit(1)).alias("total_mentions"),
-        *[engagement.one_decimal(F.avg(c)).alias(name) for name, c in means.items()],
+        *[F.sum(c).alias(c) for c in _MEANS.values()],
         F.sum(engagement.flag(F.col("is_viral"))).alias("viral_count"),
     )
 
 
+def totals_of_states(states: DataFrame) -> DataFrame:
+    """The totals of all tags, from any number of states of each."""
+    mentions = F.sum("total_mentions")
+    return states.groupBy("hashtag").agg(
+        mentions.alias("total_mentions"),
+        *[engagement.one_decimal(F.sum(c) / mentions).alias(name) for name, c in _MEANS.items()],
+        F.sum("viral_count").alias("viral_count"),
+    )
+
+
 def top_hashtags(
     silver: DataFrame, rules: EngagementRules = DEFAULT_RULES, as_of: datetime | None = None
 ) -> DataFrame:
     """Hashtag totals ranked by mentions."""
-    ranked = global_rank(hashtag_totals(silver, rules), by="total_mentions", into="rank")
+    return ranked_hashtags(hashtag_totals(silver, rules), as_of)
+
+
+def ranked_hashtags(totals: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    ranked = global_rank(totals, by="total_mentions", into="rank")
     return ranked.withColumn("processed_at", moments.stamp(as_of))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,32 @@ def hourly_trends(silver: DataFrame, as_of: datetime | None = None) -> DataFrame
     )
 
 
+def hourly_states(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counts and sums per hour of day and type, and of further columns `by`; they can be
+    merged."""
+    return silver.groupBy(*by, "hour_of_day", "event_type").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.sum("engagement_score").alias("engagement_score"),
+        F.sum("likes").alias("likes"),
+        F.count_if("is_viral").alias("viral_count"),
+    )
+
+
+def trends_of_states(states: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Hourly trends from any number of states of each hour and type."""
+    events = F.sum("event_count")
+    return (
+        states.groupBy("hour_of_day", "event_type")
+        .agg(
+            events.alias("event_count"),
+            engagement.one_decimal(F.sum("engagement_score") / events).alias("avg_engagement"),
+            engagement.one_decimal(F.sum("likes") / events).alias("avg_likes"),
+            F.sum("viral_count").alias("viral_count"),
+        )
+        .withColumn("processed_at", moments.stamp(as_of))
+    )
+
+
 def hourly_totals(trends: DataFrame) -> DataFrame:
     """All events per hour of day."""
     return trends.groupBy("hour_of_day").agg(F.sum("event_count").alias("total_events"))

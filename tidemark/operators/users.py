@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -38,10 +39,10 @@ def devices_used(silver: DataFrame) -> DataFrame:
     return silver.groupBy(*USER).agg(F.countDistinct("device").alias("devices_used"))
 
 
-def _earliest() -> Column:
+def _earliest(time: str = "timestamp") -> Column:
     """The earliest time; a missing one comes before all."""
-    missing = F.count_if(F.col("timestamp").isNull()) > 0
-    return F.when(~missing, F.min("timestamp"))
+    missing = F.count_if(F.col(time).isNull()) > 0
+    return F.when(~missing, F.min(time))
 
 
 def _earliest_of_location() -> Column:
@@ -62,20 +63,32 @@ def primary_location(silver: DataFrame) -> DataFrame:
     )
 
 
-def user_totals(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> DataFrame:
-    """All measures of every user.
-
-    Grouped by user, device and location first, by hashing and without a sort; what
-    follows works on those rows. The grouping by user and device then counts devices
-    without a distinct aggregate. A very active user reaches every shuffle as a few rows
-    from each task.
-    """
+def location_states(
+    silver: DataFrame, rules: EngagementRules = DEFAULT_RULES, by: Sequence[str] = ()
+) -> DataFrame:
+    """Counts, score and earliest time of every user, device and location, and of further
+    columns `by`. Such rows can be merged and give all measures of a user."""
     counts = {"total_events": F.count(F.lit(1)), **type_counts(rules)}
-    per_location = silver.groupBy(*USER, "device", "location").agg(
+    return silver.groupBy(*by, *USER, "device", "location").agg(
         *[count.alias(name) for name, count in counts.items()],
         F.sum("engagement_score").alias("score"),
         _earliest().alias("first_seen"),
     )
+
+
+def merged_states(states: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> DataFrame:
+    """States of different rows as those of all of them."""
+    sums = ["total_events", *type_counts(rules), "score"]
+    return states.groupBy(*USER, "device", "location").agg(
+        *[F.sum(name).alias(name) for name in sums], _earliest("first_seen").alias("first_seen")
+    )
+
+
+def totals_of_states(
+    per_location: DataFrame, rules: EngagementRules = DEFAULT_RULES
+) -> DataFrame:
+    """All measures of every user, from one state per user, device and location."""
+    counts = ["total_events", *type_counts(rules)]
     sums = [F.sum(name).alias(name) for name in (*counts, "score")]
     per_device = per_location.groupBy(*USER, "device").agg(
         *sums, _earliest_of_location().alias("earliest")
@@ -91,9 +104,24 @@ def user_totals(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> Da
     return totals.select(*[c for c in USER_COLUMNS if c in totals.columns])
 
 
+def user_totals(silver: DataFrame, rules: EngagementRules = DEFAULT_RULES) -> DataFrame:
+    """All measures of every user.
+
+    Grouped by user, device and location first, by hashing and without a sort; what
+    follows works on those rows. The grouping by user and device then counts devices
+    without a distinct aggregate. A very active user reaches every shuffle as a few rows
+    from each task.
+    """
+    return totals_of_states(location_states(silver, rules), rules)
+
+
 def user_engagement(
     silver: DataFrame, rules: EngagementRules = DEFAULT_RULES, as_of: datetime | None = None
 ) -> DataFrame:
     """User totals ranked by the rounded total score."""
-    ranked = global_rank(user_totals(silver, rules), by="total_engagement_score", into="user_rank")
+    return ranked_users(user_totals(silver, rules), as_of)
+
+
+def ranked_users(totals: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    ranked = global_rank(totals, by="total_engagement_score", into="user_rank")
     return ranked.withColumn("processed_at", moments.stamp(as_of))

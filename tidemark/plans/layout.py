@@ -42,6 +42,10 @@ class Lake:
     def gold_path(self, name: str) -> str:
         return f"{self.base}/gold/{name}"
 
+    def states_path(self, name: str) -> str:
+        """Partial states of a gold table."""
+        return f"{self.base}/states/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
 
