@@ -18,7 +18,7 @@ from tidemark.plans import batch
 from tidemark.plans.layout import Lake
 from tidemark.session import open_session
 from tidemark.sources.bronze import compact_bronze, vacuum_bronze
-from tidemark.sources.relational import publish_jdbc
+from tidemark.sources.relational import BY_NAME, BY_ROWS, publish_jdbc, publish_staged
 from tidemark.streaming.ingest import kafka_options, read_event_stream
 from tidemark.streaming.runner import run_ingest
 
@@ -51,6 +51,10 @@ def _arguments() -> argparse.Namespace:
         "--hours", type=float, default=24.0, help="vacuum: age of the compactions whose files go"
     )
     parser.add_argument("--jdbc-url", help="send, batch: relational store")
+    parser.add_argument(
+        "--swap", choices=[BY_ROWS, BY_NAME],
+        help="send, batch: load under a second name, then replace in one transaction",
+    )
     parser.add_argument("--jdbc-properties", help="JSON file with user, password, driver, ...")
     arguments = parser.parse_args()
     if arguments.job == "ingest" and not (arguments.servers and arguments.topic):
@@ -74,7 +78,10 @@ def _sender(arguments: argparse.Namespace) -> batch.Send | None:
     if arguments.jdbc_properties:
         with open(arguments.jdbc_properties) as file:
             properties = json.load(file)
-    return lambda name, df: publish_jdbc(df, arguments.jdbc_url, name, properties)
+    url, swap = arguments.jdbc_url, arguments.swap
+    if swap:
+        return lambda name, df: publish_staged(df, url, name, properties, swap)
+    return lambda name, df: publish_jdbc(df, url, name, properties)
 
 
 def _report(spark, lake: Lake) -> None:
