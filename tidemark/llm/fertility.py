@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import re
 import unicodedata
-import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -85,7 +84,7 @@ class Fertility:
     of tiktoken.
     """
 
-    most_kept = 350_000
+    most_kept = 150_000
 
     def __init__(self, model: bytes, ranks: bytes):
         import public_tokenizers
@@ -100,12 +99,12 @@ class Fertility:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.bytes_first = self.pieces.piece_to_id("<0x00>")
         self.size = self.pieces.get_piece_size()
-        self.known: dict[bytes, tuple[bytes, int]] = {}
-        self.older: dict[bytes, tuple[bytes, int]] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def of_words(self, words: Counter) -> list[tuple[bytes, int]]:
-        """Each word's ids as 32-bit integers, one after the other, and its tokens in the
-        many-language vocabulary; new words together."""
+    def of_words(self, words: Counter) -> list[bytes]:
+        """Each word's ids as 32-bit integers, one after the other, and then its number of
+        tokens in the many-language vocabulary; new words together."""
         known = self.known
         new = []
         for word in [word for word in words if word not in known]:
@@ -118,7 +117,8 @@ class Fertility:
             texts = [word.decode("utf-8", "replace") for word in new]
             many = self.many.encode_ordinary
             for word, text, ids in zip(new, texts, self.pieces.encode(texts, num_threads=1)):
-                known[word] = array("i", ids).tobytes(), len(many(f" {text}"))
+                ids.append(len(many(f" {text}")))
+                known[word] = array("i", ids).tobytes()
         found = list(map(known.__getitem__, words))
         if len(known) >= self.most_kept:
             # The half that is not asked for again goes when the next is full.
@@ -130,12 +130,14 @@ class Fertility:
         the tokens of the many-language vocabulary."""
         if not counts:
             return 0, 0, 0.0, 0
-        parts, many = zip(*self.of_words(counts))
+        parts = self.of_words(counts)
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         occurs = np.fromiter(counts.values(), np.int64, len(parts))
-        many = np.array(many)
+        joined = np.frombuffer(b"".join(parts), np.int32)
+        last = np.cumsum(lengths) - 1
+        many, ids = joined[last], np.delete(joined, last)
+        lengths -= 1
         times = np.repeat(occurs, lengths)
-        ids = np.frombuffer(b"".join(parts), np.int32)
         total = int(times.sum())
         is_byte = (ids >= self.bytes_first) & (ids < self.bytes_first + 256)
         order = np.argsort(ids, kind="stable")
@@ -147,18 +149,6 @@ class Fertility:
         return total, int(times[is_byte].sum()), evenness, int((many * occurs).sum())
 
 
-# One for each pair of vocabularies; a worker keeps its words from task to task.
-_shared: dict[tuple[int, int], Fertility] = {}
-
-
-def shared_fertility(model: bytes, ranks: bytes) -> Fertility:
-    key = zlib.crc32(model), zlib.crc32(ranks)
-    if key not in _shared:
-        _shared.clear()
-        _shared[key] = Fertility(model, ranks)
-    return _shared[key]
-
-
 # First code point of a range, and its class, up to the next.
 _RANGES = (
     (0x0041, "Latin"), (0x0250, "other alphabet"), (0x0370, "Greek"), (0x0400, "Cyrillic"),
@@ -389,7 +379,7 @@ def measure_quality(
     schema = pa.schema([*SCHEMA, pa.field("lang", pa.string())])
 
     def judge_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = shared_fertility(model.value, ranks.value)
+        fertility = Fertility(model.value, ranks.value)
         for batch in in_parts(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             ids, langs = (batch.column(name).to_pylist() for name in ("doc_id", "lang"))
@@ -435,7 +425,7 @@ def keep_good(
         own += "_"
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = shared_fertility(model.value, ranks.value)
+        fertility = Fertility(model.value, ranks.value)
         for batch in in_parts(batches):
             texts = batch.column(text_col).cast(pa.binary()).to_pylist()
             rows = []
