@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import documents_of, id_and_text, in_batches
 from tidemark.llm.kept import Kept
-from tidemark.llm.word_bpe import WordBpe, read_definition
+from tidemark.llm.word_bpe import WordBpe, chunks_of, read_definition
 from tidemark.sources.scratch import materialize
 
 CAPACITY = 4096
@@ -168,7 +168,7 @@ class _Ids:
         )
 
     def of_text(self, text: bytes) -> bytes:
-        return b"".join(map(self.of_chunk.__getitem__, text.split()))
+        return b"".join(map(self.of_chunk.__getitem__, chunks_of(text)))
 
 
 def token_pieces(

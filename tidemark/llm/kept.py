@@ -25,3 +25,7 @@ class Kept(dict):
             self.clear()
         self[key] = found
         return found
+
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}

@@ -9,26 +9,30 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import documents_of, id_and_text, in_batches
+from tidemark.llm.kept import Kept
 from tidemark.llm.lookup import (
     RARE,
     RARE_DDL,
     add_rare,
-    count_keys,
     most_frequent,
     rare_list,
     row_numbers,
 )
-from tidemark.llm.word_bpe import WordBpe, read_definition
+from tidemark.llm.word_bpe import WordBpe, chunks_of, read_definition
 from tidemark.sources.scratch import materialize
 
 _KEPT_CHUNKS = 200_000
+# Distinct parts of texts that a task counts before it hands them on.
+_HELD_CHUNKS = 400_000
 
 _PIECES = pa.schema([("key", pa.string()), ("times", pa.int64()), ("n_tokens", pa.int64())])
+_TIMES = pa.schema([("key", pa.string()), ("times", pa.int64())])
 _COUNTS = pa.schema(
     [("row_id", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()),
      ("n_tokens", pa.int64()), RARE]
@@ -53,22 +57,25 @@ def count_tokens(
     definition = spark.sparkContext.broadcast(read_definition(definition_path))
     rows = id_and_text(docs, id_col, text_col)
 
-    def pretokens():
-        bpe, known = WordBpe(definition.value), {}
+    def pretokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Parts of texts are counted over all documents that a task holds at once, and
+        each is cut into pre-tokens when the counts are handed on."""
+        bpe, held = WordBpe(definition.value), Counter()
 
-        def counts(_, text: bytes) -> Counter:
+        def cut_up() -> Iterator[tuple[str, int]]:
             found: Counter = Counter()
-            if len(known) > _KEPT_CHUNKS:
-                known.clear()
-            for chunk, times in Counter(text.split()).items():
-                pieces = known.get(chunk)
-                if pieces is None:
-                    pieces = known[chunk] = bpe.pieces(chunk)
-                for piece in pieces:
+            for chunk, times in held.items():
+                for piece in bpe.pieces(chunk):
                     found[piece] += times
-            return found
+            held.clear()
+            return iter(found.items())
 
-        return counts
+        for _, texts in documents_of(batches):
+            for text in texts:
+                held.update(chunks_of(text))
+            if len(held) > _HELD_CHUNKS:
+                yield from in_batches(_TIMES, cut_up())
+        yield from in_batches(_TIMES, cut_up())
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(definition.value)
@@ -79,7 +86,10 @@ def count_tokens(
                 schema=_PIECES,
             )
 
-    distinct = count_keys(rows, pretokens).mapInArrow(cut, "key string, times bigint, n_tokens bigint")
+    times = rows.mapInArrow(pretokens, "key string, times bigint").groupBy("key")
+    distinct = times.agg(F.sum("times").alias("times")).mapInArrow(
+        cut, "key string, times bigint, n_tokens bigint"
+    )
     table, _ = materialize(distinct, "pretokens")
     frequent = spark.sparkContext.broadcast(
         {row["key"]: row["n_tokens"] for row in most_frequent(table, ["n_tokens"])}
@@ -87,24 +97,31 @@ def count_tokens(
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, sizes, numbers = WordBpe(definition.value), frequent.value, row_numbers()
-        known: dict[bytes, tuple[int, list[str]]] = {}
+        # Parts with rare pre-tokens, by the number that stands for them below zero.
+        unusual: list[tuple[int, list[str]]] = []
 
-        def split(chunk: bytes) -> tuple[int, list[str]]:
+        def size_of(chunk: bytes) -> int:
             pieces = bpe.pieces(chunk)
             size = sum(sizes.get(piece, 0) for piece in pieces)
-            return size, [piece for piece in pieces if piece not in sizes]
+            rare = [piece for piece in pieces if piece not in sizes]
+            if not rare:
+                return size
+            unusual.append((size, rare))
+            return -len(unusual)
+
+        known = Kept(size_of, _KEPT_CHUNKS)
 
         def row(doc_id: int | None, text: bytes) -> tuple:
-            total, rare = 0, Counter()
-            if len(known) > _KEPT_CHUNKS:
-                known.clear()
-            for chunk, times in Counter(text.split()).items():
-                found = known.get(chunk)
-                if found is None:
-                    found = known[chunk] = split(chunk)
-                total += times * found[0]
-                for piece in found[1]:
-                    rare[piece] += times
+            if len(unusual) > _KEPT_CHUNKS:
+                unusual.clear()
+                known.forget()
+            chunks = chunks_of(text)
+            found = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+            total, rare = int(found[found > 0].sum()), Counter()
+            for number in found[found < 0].tolist():
+                size, pieces = unusual[-number - 1]
+                total += size
+                rare.update(pieces)
             return next(numbers), doc_id, len(text), total, rare_list(rare)
 
         for ids, texts in documents_of(batches):

@@ -19,6 +19,16 @@ from tokenizers import Tokenizer
 # U+017F, without the capital I with a dot.
 _SIMPLE = re.compile("[!-~¡-įı-ſ]+")
 
+# Marks behind a letter or digit are always cut off, so they may be looked up alone.
+_BEFORE_MARKS = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,;:!?])")
+
+
+def chunks_of(text: bytes) -> list[bytes]:
+    """A text in parts that can be cut into pre-tokens one by one: between white space,
+    and before the marks that follow a word, so that `word` and `word,` share a part."""
+    return _BEFORE_MARKS.sub(b" ", text).split()
+
+
 # The normaliser and the order of pre-tokenisers that chunks rely on.
 _STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
 
