@@ -11,7 +11,7 @@ from tidemark.plans.batch import run_batch
 from tidemark.plans.layout import Lake
 from tidemark.sources.messages import decode, parse_events, with_instants
 from tidemark.sources.tables import read_table
-from tidemark.streaming import ingest, late, runner, trends
+from tidemark.streaming import handover, ingest, late, runner, trends
 
 
 @pytest.fixture
@@ -216,6 +216,90 @@ def test_offsets_of_a_topic(spark, monkeypatch):
     assert values(found) == [("m", 0, 0), ("m", 2, 9)]
 
 
+def run_partitions(spark, number, query):
+    """Run a bounded query with this number of state partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    try:
+        return query()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def resume(spark, topic, tmp_path, move, checkpoint, number):
+    def start():
+        lines = topic.stream().select("value", F.col("_metadata.file_path").alias("file"))
+        messages = handover.unread_files(spark, lines, move)
+        events = with_instants(decode(messages, schemas.TREND_MESSAGE))
+        found = handover.resumed_trends(events, move)
+        return runner.finish(
+            trends.write_trends(found, f"{checkpoint}-t", str(checkpoint), bounded=True)
+        )
+
+    return run_partitions(spark, number, start)
+
+
+def state_partitions(spark, checkpoint):
+    return {p.name for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_another_number_of_state_partitions(spark, topic, tmp_path, seed):
+    """Runs of one query, then two further ones with other numbers, against one query that
+    takes all the same batches."""
+    rng = random.Random(seed)
+    whole = tmp_path / "whole"
+    whole.mkdir()
+    move, checkpoint, at = None, tmp_path / "c", 0
+    for batch in range(7):
+        minutes = [max(0, 12 * batch - rng.randint(0, 25)) for _ in range(6)]
+        topic.send(*[
+            post(m, hashtags=rng.choice([["A"], ["A", "B"], [None]]), likes=rng.choice([None, 3, 9]))
+            for m in minutes
+        ])
+        run_trends(topic, whole)
+        if batch in (3, 5):
+            move = handover.hand_over(spark, str(checkpoint), str(tmp_path / f"seeds{batch}"))
+            checkpoint = tmp_path / f"c{batch}"
+        if move is None:
+            run_partitions(spark, 4, lambda: run_trends(topic, tmp_path))
+        else:
+            resume(spark, topic, tmp_path, move, checkpoint, 7 if batch < 5 else 2)
+    for folder, query in ((whole, None), (tmp_path, move)):
+        if query is None:
+            topic.send(post(900))
+            run_trends(topic, whole)
+        else:
+            resume(spark, topic, tmp_path, move, checkpoint, 2)
+
+    def content(*folders):
+        found = [values(read_table(spark, str(f), schema=schemas.TRENDS)) for f in folders]
+        return sorted(sum(found, []), key=str)
+
+    parts = tmp_path / "t", tmp_path / "c3-t", tmp_path / "c5-t"
+    assert content(*parts) == content(whole / "t") and content(whole / "t")
+    assert len(state_partitions(spark, tmp_path / "c")) == 4
+    assert len(state_partitions(spark, tmp_path / "c3")) == 7
+    assert len(state_partitions(spark, tmp_path / "c5")) == 2
+
+
+def test_nothing_to_hand_over(spark, topic, tmp_path):
+    with pytest.raises(ValueError, match="no finished batch"):
+        handover.hand_over(spark, str(tmp_path / "c"), str(tmp_path / "s"))
+    topic.send(post(0), post(30))
+    run_trends(topic, tmp_path)
+    numbers = sorted(int(p.name) for p in (tmp_path / "c" / "commits").iterdir() if p.name.isdigit())
+    (tmp_path / "c" / "commits" / str(numbers[-1])).unlink()
+    with pytest.raises(ValueError, match="not finished"):
+        handover.hand_over(spark, str(tmp_path / "c"), str(tmp_path / "s"))
+
+
+def test_a_topic_goes_on_where_it_was():
+    move = handover.Handover("s", 0, '{"t":{"0":5}}', "c")
+    given = ingest.kafka_options("h:1", "t", **handover.next_offsets(move))
+    assert given["startingOffsets"] == '{"t":{"0":5}}'
+
+
 def test_only_mentions_move_event_time(spark, topic, tmp_path):
     others = ({"event_type": "like"}, {"hashtags": []}, {"event_type": " POST "})
     topic.send(post(0), *[post(59, **other) for other in others])

@@ -39,33 +39,39 @@ class LostBatches(RuntimeError):
 
 @dataclass(frozen=True)
 class Batch:
-    """A finished batch: its number, the watermark its rows were held against, and the
-    source's offsets before and after it, as the source wrote them."""
+    """A finished batch: its number, the watermark its rows were held against, the
+    source's offsets before and after it, as the source wrote them, the batch's own
+    watermark, and whether no other batch has begun after it."""
 
     number: int
     watermark_ms: int
     start: str | None
     end: str
+    watermark_of_batch_ms: int = 0
+    latest: bool = True
 
 
-def finished_batches(spark: SparkSession, checkpoint: str, after: int = -1) -> list[Batch]:
+def finished_batches(
+    spark: SparkSession, checkpoint: str, after: int = -1, gaps: bool = False
+) -> list[Batch]:
     """The finished batches beyond number `after`, in order.
 
-    Spark keeps the last hundred or so; if some in between are gone, this raises.
+    Spark keeps the last hundred or so; if some in between are gone, this raises, unless
+    `gaps` are expected.
     """
     numbers = sorted(set(_numbers(spark, f"{checkpoint}/offsets")))
     done = set(_numbers(spark, f"{checkpoint}/commits"))
     batches, before, mark = [], None, 0
     for number in numbers:
-        _, metadata, offset, *more = read_text(spark, f"{checkpoint}/offsets/{number}").splitlines()
-        if more:
-            raise ValueError("the query has several sources")
-        known = number == 0 or number - 1 in numbers
+        # Messages are the first source; a resumed query has its seeds as a second one.
+        _, metadata, offset, *_ = read_text(spark, f"{checkpoint}/offsets/{number}").splitlines()
+        own = json.loads(metadata)["batchWatermarkMs"]
+        known = gaps or number == 0 or number - 1 in numbers
         if number > after and number in done:
             if not known:
                 raise LostBatches(f"{checkpoint}: {after + 1} to {number}")
-            batches.append(Batch(number, mark, before, offset))
-        before, mark = offset, json.loads(metadata)["batchWatermarkMs"]
+            batches.append(Batch(number, mark, before, offset, own, number == numbers[-1]))
+        before, mark = offset, own
     return batches
 
 
@@ -92,7 +98,7 @@ def file_messages(
         for step in range(first + 1, json.loads(batch.end)["logOffset"] + 1):
             places[step] = batch
     files = {
-        file: places[step] for file, step in _source_files(spark, checkpoint) if step in places
+        file: places[step] for file, step in source_files(spark, checkpoint) if step in places
     }
     listed = spark.createDataFrame(
         [(_LOCAL.sub("file:/", file), b.number, b.watermark_ms) for file, b in files.items()],
@@ -106,7 +112,7 @@ def file_messages(
     return messages.select("value", file.alias("file")).join(listed, "file").drop("file")
 
 
-def _source_files(spark: SparkSession, checkpoint: str) -> list[tuple[str, int]]:
+def source_files(spark: SparkSession, checkpoint: str) -> list[tuple[str, int]]:
     """Files and the steps of the source's log that took them. Like the source itself,
     the driver holds the names."""
     folder = f"{checkpoint}/sources/0"
@@ -175,18 +181,23 @@ def audit_late(
     path: str,
     messages_of: Callable[[list[Batch]], DataFrame] | None = None,
     rules: EngagementRules = DEFAULT_RULES,
+    closed_ms: int = 0,
 ) -> int:
     """Add the late mentions of batches finished since the last audit; how many there are.
 
     Each audit adds one folder and notes the last batch in the same commit, so a batch
     is audited once whatever fails. Run it more often than every hundred batches.
+    `closed_ms` is that of the handover a query began with: windows closed by then.
     """
     before = latest_commit(spark, path, loud=False)
     batches = finished_batches(spark, checkpoint, before.note["through"] if before else -1)
     if not batches:
         return 0
     messages_of = messages_of or (lambda found: file_messages(spark, checkpoint, found))
-    part, rows = write_part(late_mentions(messages_of(batches), rules), path)
+    marked = messages_of(batches).withColumn(
+        "watermark_ms", F.greatest("watermark_ms", F.lit(closed_ms).cast("bigint"))
+    )
+    part, rows = write_part(late_mentions(marked, rules), path)
     parts = [*before.parts, part] if before else [part]
     note = {"through": batches[-1].number}
     commit_parts(spark, path, before, parts, note, [part])
