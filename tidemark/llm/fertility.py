@@ -76,6 +76,11 @@ class FertilityRules:
     least_documents: int = 100
 
 
+_BEFORE_MARKS = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,;:!?]+(?:[ \t-\r]|\Z))")
+# Stands before marks that were cut off a word.
+_MARKS_FOLLOW = b"\x01"
+
+
 class Fertility:
     """Pieces of words under a vocabulary with byte fallback, each word looked up once.
 
@@ -99,9 +104,35 @@ class Fertility:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.bytes_first = self.pieces.piece_to_id("<0x00>")
         self.size = self.pieces.get_piece_size()
+        # Marks behind a word may be looked up apart where no piece spans the place. The
+        # other vocabulary's pattern cuts there in any case.
+        spans = re.compile(r"[A-Za-z0-9][.,;:!?]").search
+        self.apart = not any(spans(self.pieces.id_to_piece(i)) for i in range(self.pieces.get_piece_size()))
+        self.lead = len(self.pieces.encode("a"))
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def parts(self, text: bytes, words: list[bytes]) -> Counter:
+        """The words of a text, or their parts where marks stand apart; how often each is
+        there."""
+        if not self.apart or _MARKS_FOLLOW in text:
+            return Counter(words)
+        return Counter(_BEFORE_MARKS.sub(b" " + _MARKS_FOLLOW, text).split())
+
+    def _encoded(self, parts: list[bytes]) -> Iterator[tuple[list[int], int]]:
+        """Ids of each part, and its number of tokens in the many-language vocabulary."""
+        marks = [part.startswith(_MARKS_FOLLOW) for part in parts]
+        texts = [
+            ("a" + part[1:].decode()) if mark else part.decode("utf-8", "replace")
+            for part, mark in zip(parts, marks)
+        ]
+        many = self.many.encode_ordinary
+        for text, mark, ids in zip(texts, marks, self.pieces.encode(texts, num_threads=1)):
+            if mark:
+                yield ids[self.lead :], len(many(text[1:]))
+            else:
+                yield ids, len(many(f" {text}"))
+
     def of_words(self, words: Counter) -> list[bytes]:
         """Each word's ids as 32-bit integers, one after the other, and then its number of
         tokens in the many-language vocabulary; new words together."""
@@ -114,10 +145,8 @@ class Fertility:
             else:
                 known[word] = found
         if new:
-            texts = [word.decode("utf-8", "replace") for word in new]
-            many = self.many.encode_ordinary
-            for word, text, ids in zip(new, texts, self.pieces.encode(texts, num_threads=1)):
-                ids.append(len(many(f" {text}")))
+            for word, (ids, many) in zip(new, self._encoded(new)):
+                ids.append(many)
                 known[word] = array("i", ids).tobytes()
         found = list(map(known.__getitem__, words))
         if len(known) >= self.most_kept:
@@ -266,7 +295,7 @@ def judge(text: bytes, fertility: Fertility, rules: FertilityRules) -> tuple:
     symbols = sum(text.count(bytes([c])) for c in SYMBOLS)
     repeated = repeated_words(words)
     failed = base_failed(len(words), repeated)
-    tokens, fallback, evenness, many = fertility.measures(Counter(words))
+    tokens, fallback, evenness, many = fertility.measures(fertility.parts(text, words))
     script = script_of(decoded)
     reason = verdict(script, word_chars, tokens, fallback, evenness, rules)
     return (
