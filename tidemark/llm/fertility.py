@@ -89,7 +89,7 @@ class Fertility:
     of tiktoken.
     """
 
-    most_kept = 150_000
+    most_kept = 250_000
 
     def __init__(self, model: bytes, ranks: bytes):
         import public_tokenizers
@@ -136,19 +136,20 @@ class Fertility:
     def of_words(self, words: Counter) -> list[bytes]:
         """Each word's ids as 32-bit integers, one after the other, and then its number of
         tokens in the many-language vocabulary; new words together."""
-        known = self.known
-        new = []
-        for word in [word for word in words if word not in known]:
-            found = self.older.get(word)
-            if found is None:
-                new.append(word)
-            else:
-                known[word] = found
-        if new:
+        known, older = self.known, self.older
+        found = list(map(known.get, words))
+        if None in found:
+            new = []
+            for word in [word for word, ids in zip(words, found) if ids is None]:
+                ids = older.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    known[word] = ids
             for word, (ids, many) in zip(new, self._encoded(new)):
                 ids.append(many)
                 known[word] = array("i", ids).tobytes()
-        found = list(map(known.__getitem__, words))
+            found = list(map(known.__getitem__, words))
         if len(known) >= self.most_kept:
             # The half that is not asked for again goes when the next is full.
             self.older, self.known = known, {}
@@ -213,15 +214,16 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """
     if len(words) <= window:
         return 0
-    numbers = {word: number for number, word in enumerate(set(words))}
-    codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    # Equal windows have equal sums; without equal sums nothing is repeated.
+    # Equal windows have equal sums of their words' hashes; without equal sums nothing is
+    # repeated, and no numbers are needed.
     last = len(words) - window + 1
-    mixed = np.random.default_rng(window).integers(1, 1 << 62, len(numbers), np.uint64)[codes]
-    sums = sum(mixed[k : last + k] * np.uint64(2 * k + 1) ** np.uint64(7) for k in range(window))
+    hashes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    sums = sum(hashes[k : last + k] * np.uint64(2 * k + 1) ** np.uint64(7) for k in range(window))
     sums.sort()
     if (sums[1:] != sums[:-1]).all():
         return 0
+    numbers = {word: number for number, word in enumerate(set(words))}
+    codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     span = 1
     while span < window:
         step = min(span, window - span)
