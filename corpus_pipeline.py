@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.best_fit import pack_documents
 from tidemark.llm.components import drop_table
-from tidemark.llm.fertility import keep_good
+from tidemark.llm.fertility import FertilityRules, keep_good
 from tidemark.llm.ngram_join import JoinRules, drop_similar
 from tidemark.llm.queries import MANY_LANGUAGES, PIECES, WORD_PIECES, documents, vocabulary
 from tidemark.llm.secret_scan import redact_secrets
@@ -23,6 +23,8 @@ from tidemark.sources.scratch import delete_path, materialize, recorded_scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Later stages need the workers' memory too, so fewer words are remembered.
+QUALITY = FertilityRules(most_kept=120_000)
 # Near copies: five words, four fifths in common.
 NEAR_COPIES = JoinRules(width=5, percent=80)
 
@@ -30,7 +32,7 @@ NEAR_COPIES = JoinRules(width=5, percent=80)
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the tokeniser's fertility reject go. Null and empty
     texts are among them; a null language is held against its script."""
-    return keep_good(docs, vocabulary(PIECES), vocabulary(MANY_LANGUAGES))
+    return keep_good(docs, vocabulary(PIECES), vocabulary(MANY_LANGUAGES), QUALITY)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -162,7 +162,7 @@ class _Ids:
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
-        of_piece = Kept(lambda piece: array("I", bpe.ids(piece)).tobytes(), _KEPT_CHUNKS)
+        of_piece = Kept(lambda piece: array("I", bpe.ids(piece)).tobytes(), _KEPT_CHUNKS // 4)
         self.of_chunk = Kept(
             lambda chunk: b"".join(map(of_piece.__getitem__, bpe.pieces(chunk))), _KEPT_CHUNKS
         )

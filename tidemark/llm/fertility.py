@@ -20,6 +20,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,8 @@ class FertilityRules:
     evenness_margin: float = 0.8
     # Languages of fewer documents keep the wide bands.
     least_documents: int = 100
+    # Half of the distinct words a task remembers.
+    most_kept: int = 250_000
 
 
 _BEFORE_MARKS = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,;:!?]+(?:[ \t-\r]|\Z))")
@@ -81,6 +84,21 @@ _BEFORE_MARKS = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,;:!?]+(?:[ \t-\r]|\Z))")
 _MARKS_FOLLOW = b"\x01"
 
 
+@lru_cache(maxsize=1)
+def _loaded(model: bytes, ranks: bytes):
+    """Both vocabularies, loaded once in each worker."""
+    import public_tokenizers
+    import sentencepiece
+    import tiktoken
+
+    lines = (line.split() for line in ranks.splitlines())
+    many = tiktoken.Encoding(
+        "many", pat_str=public_tokenizers.PATTERN, special_tokens={},
+        mergeable_ranks={base64.b64decode(piece): int(rank) for piece, rank in lines},
+    )
+    return sentencepiece.SentencePieceProcessor(model_proto=model), many
+
+
 class Fertility:
     """Pieces of words under a vocabulary with byte fallback, each word looked up once.
 
@@ -89,19 +107,9 @@ class Fertility:
     of tiktoken.
     """
 
-    most_kept = 250_000
-
-    def __init__(self, model: bytes, ranks: bytes):
-        import public_tokenizers
-        import sentencepiece
-        import tiktoken
-
-        lines = (line.split() for line in ranks.splitlines())
-        self.many = tiktoken.Encoding(
-            "many", pat_str=public_tokenizers.PATTERN, special_tokens={},
-            mergeable_ranks={base64.b64decode(piece): int(rank) for piece, rank in lines},
-        )
-        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+    def __init__(self, model: bytes, ranks: bytes, most_kept: int = 250_000):
+        self.pieces, self.many = _loaded(model, ranks)
+        self.most_kept = most_kept
         self.bytes_first = self.pieces.piece_to_id("<0x00>")
         self.size = self.pieces.get_piece_size()
         # Marks behind a word may be looked up apart where no piece spans the place. The
@@ -410,7 +418,7 @@ def measure_quality(
     schema = pa.schema([*SCHEMA, pa.field("lang", pa.string())])
 
     def judge_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(model.value, ranks.value)
+        fertility = Fertility(model.value, ranks.value, rules.most_kept)
         for batch in in_parts(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             ids, langs = (batch.column(name).to_pylist() for name in ("doc_id", "lang"))
@@ -456,7 +464,7 @@ def keep_good(
         own += "_"
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(model.value, ranks.value)
+        fertility = Fertility(model.value, ranks.value, rules.most_kept)
         for batch in in_parts(batches):
             texts = batch.column(text_col).cast(pa.binary()).to_pylist()
             rows = []

@@ -59,7 +59,7 @@ class JoinRules:
 
 
 # Tokens that a task holds together to count how many of its sets share each.
-_HELD_TOKENS = 1 << 21
+_HELD_TOKENS = 1 << 20
 # Sets of which a task remembers that it has given them.
 _HELD_NODES = 200_000
 
