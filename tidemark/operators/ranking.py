@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import materialize
@@ -53,10 +53,10 @@ def _rank_by_slices(
     value = F.col(by)
     kind = stored.schema[by].dataType.simpleString()
     starts = F.array(*[F.lit(cut) for cut in cuts]).cast(f"array<{kind}>")
-    bucket = _cuts_up_to(starts, len(cuts), value)
-    placed = stored.withColumn("__bucket", bucket)
+    placed = stored.withColumn("__cuts", starts)
+    placed = _with_cuts_up_to(placed, "__cuts", len(cuts), by, "__bucket")
     # Bucket b starts at cut b - 1, counted from 0; `get` is NULL outside the array.
-    at_cut = F.coalesce(F.get(starts, F.col("__bucket") - 1) == value, F.lit(False))
+    at_cut = F.coalesce(F.get("__cuts", F.col("__bucket") - 1) == value, F.lit(False))
     missing = value.isNull()
     placed = placed.withColumns(
         {
@@ -69,7 +69,7 @@ def _rank_by_slices(
                 F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(slices)),
             ).otherwise(F.lit(0)),
         }
-    )
+    ).drop("__cuts")
 
     # A row per slot: at most twice the cuts and two from here on.
     sizes = placed.groupBy("__slot").agg(F.count(F.lit(1)).alias("__rows"))
@@ -112,18 +112,17 @@ def _cuts(stored: DataFrame, by: str, rows: int, slices: int) -> list:
     return cuts
 
 
-def _cuts_up_to(cuts: Column, count: int, value: Column) -> Column:
-    """How many of the ascending cuts are at or below the value: a binary search."""
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
-        at_or_below = F.get(cuts, middle) <= value
-        narrowed = F.struct(
-            F.when(at_or_below, middle + 1).otherwise(span["low"]).alias("low"),
-            F.when(at_or_below, span["high"]).otherwise(middle).alias("high"),
-        )
-        return F.when(span["low"] < span["high"], narrowed).otherwise(span)
+def _with_cuts_up_to(df: DataFrame, cuts: str, count: int, by: str, into: str) -> DataFrame:
+    """Add how many of the ascending cuts (an array column, the same in every row) are at
+    or below the value: a binary search, one compiled step after the other.
 
-    whole = F.struct(F.lit(0).alias("low"), F.lit(count).alias("high"))
-    turns = F.sequence(F.lit(1), F.lit(max(1, count.bit_length())))
-    return F.aggregate(turns, whole, halve)["low"]
+    Each step is a column of its own, since it is used twice by the next one.
+    """
+    found = df.withColumn(into, F.lit(0))
+    step = 1 << max(count.bit_length() - 1, 0)
+    while step:
+        # Beyond the end there is no cut, and nothing is added.
+        higher = F.get(F.col(cuts), F.col(into) + (step - 1)) <= F.col(by)
+        found = found.withColumn(into, F.col(into) + F.when(higher, step).otherwise(0))
+        step >>= 1
+    return found
