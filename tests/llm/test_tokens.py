@@ -4,15 +4,17 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.conftest import prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm import lookup
-from tidemark.llm.best_fit import pack_documents, plan_groups
+from tidemark.llm.best_fit import ROW, _ranked, pack_documents, plan_groups, token_pieces
 from tidemark.llm.token_counts import count_tokens
-from tidemark.llm.word_bpe import WordBpe, read_definition
+from tidemark.llm.word_bpe import WordBpe, chunks_of, read_definition
+from tidemark.sources.scratch import materialize
 
 NAME = "word_bpe_49k.json"
 TEXTS = [
@@ -105,3 +107,24 @@ def test_many_random_lengths():
 def test_empty(documents, vocabulary):
     assert count_tokens(documents([]), vocabulary(NAME)).count() == 0
     assert pack_documents(documents([]), vocabulary(NAME)).count() == 0
+
+
+@given(st.text(alphabet="aZ9é.,;:!?'’̸́=<|> \n\x1c½", max_size=40))
+@settings(max_examples=500, deadline=None)
+def test_parts_before_marks(vocabulary, library, text):
+    """A word and the marks behind it may be cut into pre-tokens apart."""
+    bpe = WordBpe(read_definition(vocabulary(NAME)))
+    pieces = [p for chunk in chunks_of(text.encode()) for p in bpe.pieces(chunk)]
+    assert [i for p in pieces for i in bpe.ids(p)] == ids(library, text)
+
+
+def test_rows_of_one_id_and_text_are_spread(documents, vocabulary):
+    """A third of the rows are copies without an id: they are numbered in many slices."""
+    rows = [(None, "the same text here")] * 600 + [(i, f"text {i}") for i in range(1200)]
+    pieces = token_pieces(documents(rows), vocabulary(NAME)).withColumn(ROW, F.monotonically_increasing_id())
+    stored, _ = materialize(pieces, "test-pieces")
+    ranked = _ranked(stored).where("doc_id is null").collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(600))
+    slices = stored.where("doc_id is null").select(F.pmod(F.xxhash64(ROW, "doc_id", "piece", "ids_crc32"), F.lit(64)))
+    assert slices.distinct().count() >= 50
+    assert len({(r.sequence_id, r.offset) for r in pack_documents(documents(rows), vocabulary(NAME)).collect()}) == 1800

@@ -28,6 +28,8 @@ from tidemark.sources.scratch import materialize
 CAPACITY = 4096
 END_ID = 1
 SLICES = 64
+# Number of a row in the stored table of pieces, where it has one.
+ROW = "piece_row"
 _KEPT_CHUNKS = 150_000
 
 
@@ -201,8 +203,9 @@ def token_pieces(
 
 def _ranked(pieces: DataFrame, slices: int = SLICES) -> DataFrame:
     """Number the pieces of each length from 0, gapless; a length with many pieces is
-    numbered in slices, of which only the counts meet."""
-    key = F.xxhash64("doc_id", "piece", "ids_crc32")
+    numbered in slices, of which only the counts meet. Slices go by the stored number of the
+    row, so that many rows of one id and text are spread too."""
+    key = F.xxhash64(*[c for c in (ROW, "doc_id", "piece", "ids_crc32") if c in pieces.columns])
     sliced = pieces.withColumn("slice", F.pmod(key, F.lit(slices)).cast("int"))
     before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -210,7 +213,8 @@ def _ranked(pieces: DataFrame, slices: int = SLICES) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("pieces"))
         .select("length", "slice", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("before"))
     )
-    within = Window.partitionBy("length", "slice").orderBy("doc_id", "piece", "ids_crc32", "start")
+    names = [c for c in ("doc_id", "piece", "ids_crc32", "start", ROW) if c in pieces.columns]
+    within = Window.partitionBy("length", "slice").orderBy(*names)
     return (
         sliced.withColumn("place", F.row_number().over(within))
         .join(offsets, ["length", "slice"])
@@ -220,7 +224,8 @@ def _ranked(pieces: DataFrame, slices: int = SLICES) -> DataFrame:
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to a stored table of pieces.
+    """Add sequence_id and offset to a stored table of pieces; an empty one gives an empty
+    result, and null and repeated ids are rows like others.
 
     The plan is made on the driver from one count per length, at most `capacity` of
     them, and its rows are bounded by a small multiple of that.
@@ -259,4 +264,5 @@ def pack_documents(
     gives an empty result. Tokenising starts when this is called; its rows are stored.
     """
     pieces = token_pieces(docs, definition_path, capacity, id_col, text_col)
-    return pack_pieces(materialize(pieces, "token-pieces")[0], capacity)
+    numbered = pieces.withColumn(ROW, F.monotonically_increasing_id())
+    return pack_pieces(materialize(numbered, "token-pieces")[0], capacity)

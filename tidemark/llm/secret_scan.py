@@ -141,7 +141,9 @@ def redact_secrets(
     length_col: str = "n_chars",
 ) -> DataFrame:
     """The same table with secrets masked in the text, and its length in characters
-    brought up to date where a text changed. Rows without a secret stay as they are."""
+    brought up to date where a text changed. Rows without a secret stay as they are, null
+    and empty texts among them; repeated rows and null ids are rows like others; an empty
+    table gives an empty one. Stretches of overlapping spans get one mask."""
     columns = docs.columns
 
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
