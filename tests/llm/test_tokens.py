@@ -120,7 +120,7 @@ def test_parts_before_marks(vocabulary, library, text):
 
 def test_rows_of_one_id_and_text_are_spread(documents, vocabulary):
     """A third of the rows are copies without an id: they are numbered in many slices."""
-    rows = [(None, "the same text here")] * 600 + [(i, f"text {i}") for i in range(1200)]
+    rows = [(None, "the same text stands here for all of them to see")] * 600 + [(i, f"text {i}") for i in range(1200)]
     pieces = token_pieces(documents(rows), vocabulary(NAME)).withColumn(ROW, F.monotonically_increasing_id())
     stored, _ = materialize(pieces, "test-pieces")
     ranked = _ranked(stored).where("doc_id is null").collect()
