@@ -49,7 +49,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences of 4096, of every row: a null or empty
     text is one piece of length 1."""
-    return pack_documents(docs, vocabulary(WORD_PIECES), capacity=4096)
+    return pack_documents(docs, vocabulary(WORD_PIECES), capacity=4096, most_kept=150_000)
 
 
 # Scratch paths of the stage that ran last, by application.

@@ -30,7 +30,8 @@ END_ID = 1
 SLICES = 64
 # Number of a row in the stored table of pieces, where it has one.
 ROW = "piece_row"
-_KEPT_CHUNKS = 150_000
+# Half of the distinct parts of texts that a task remembers.
+_KEPT_CHUNKS = 300_000
 
 
 @dataclass(frozen=True)
@@ -162,11 +163,11 @@ class _Ids:
     """Ids of texts as 32-bit integers; chunks, and the pre-tokens of chunks, are cut once
     while they are kept."""
 
-    def __init__(self, bpe: WordBpe):
+    def __init__(self, bpe: WordBpe, most_kept: int):
         self.bpe = bpe
-        of_piece = Kept(lambda piece: array("I", bpe.ids(piece)).tobytes(), _KEPT_CHUNKS // 4)
+        of_piece = Kept(lambda piece: array("I", bpe.ids(piece)).tobytes(), most_kept // 4)
         self.of_chunk = Kept(
-            lambda chunk: b"".join(map(of_piece.__getitem__, bpe.pieces(chunk))), _KEPT_CHUNKS
+            lambda chunk: b"".join(map(of_piece.__getitem__, bpe.pieces(chunk))), most_kept
         )
 
     def of_text(self, text: bytes) -> bytes:
@@ -179,13 +180,14 @@ def token_pieces(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    most_kept: int = _KEPT_CHUNKS,
 ) -> DataFrame:
     """A row per piece: documents' ids and the end id, cut only where they are longer
     than the capacity. A null or empty text is the end id alone."""
     definition = docs.sparkSession.sparkContext.broadcast(read_definition(definition_path))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _Ids(WordBpe(definition.value))
+        ids_of = _Ids(WordBpe(definition.value), most_kept)
         end = array("I", [END_ID]).tobytes()
 
         def pieces(ids: list, texts: list[bytes]) -> Iterator[tuple]:
@@ -256,6 +258,7 @@ def pack_documents(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    most_kept: int = _KEPT_CHUNKS,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece.
 
@@ -263,6 +266,6 @@ def pack_documents(
     empty text gives one piece of length 1; other columns are not read; an empty table
     gives an empty result. Tokenising starts when this is called; its rows are stored.
     """
-    pieces = token_pieces(docs, definition_path, capacity, id_col, text_col)
+    pieces = token_pieces(docs, definition_path, capacity, id_col, text_col, most_kept)
     numbered = pieces.withColumn(ROW, F.monotonically_increasing_id())
     return pack_pieces(materialize(numbered, "token-pieces")[0], capacity)
