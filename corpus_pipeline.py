@@ -24,7 +24,7 @@ from tidemark.sources.scratch import delete_path, materialize, recorded_scratch
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 # Later stages need the workers' memory too, so fewer words are remembered.
-QUALITY = FertilityRules(most_kept=120_000)
+QUALITY = FertilityRules(most_kept=60_000)
 # Near copies: five words, four fifths in common.
 NEAR_COPIES = JoinRules(width=5, percent=80)
 
@@ -49,7 +49,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences of 4096, of every row: a null or empty
     text is one piece of length 1."""
-    return pack_documents(docs, vocabulary(WORD_PIECES), capacity=4096, most_kept=150_000)
+    return pack_documents(docs, vocabulary(WORD_PIECES), capacity=4096, most_kept=60_000)
 
 
 # Scratch paths of the stage that ran last, by application.
