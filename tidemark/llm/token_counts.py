@@ -29,7 +29,7 @@ from tidemark.sources.scratch import materialize
 
 _KEPT_CHUNKS = 200_000
 # Distinct parts of texts that a task counts before it hands them on.
-_HELD_CHUNKS = 400_000
+_HELD_CHUNKS = 150_000
 
 _PIECES = pa.schema([("key", pa.string()), ("times", pa.int64()), ("n_tokens", pa.int64())])
 _TIMES = pa.schema([("key", pa.string()), ("times", pa.int64())])
@@ -63,11 +63,12 @@ def count_tokens(
         bpe, held = WordBpe(definition.value), Counter()
 
         def cut_up() -> Iterator[tuple[str, int]]:
+            # What is cut up is forgotten at once, so that a task never holds both.
             found: Counter = Counter()
-            for chunk, times in held.items():
+            while held:
+                chunk, times = held.popitem()
                 for piece in bpe.pieces(chunk):
                     found[piece] += times
-            held.clear()
             return iter(found.items())
 
         for _, texts in documents_of(batches):
