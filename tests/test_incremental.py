@@ -1,5 +1,6 @@
 import random
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -286,3 +287,24 @@ def test_states_of_an_empty_silver(spark, lake):
     refresh_silver(spark, lake)
     refresh_states(spark, lake)
     assert all(table.count() == 0 for table in gold_from_states(spark, lake).values())
+
+
+def test_a_day_is_a_few_files(spark, events, lake, arrive):
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        for lot in range(2):
+            rows = [
+                {"event_id": f"e{lot}-{i}", "event_type": "post", "user_id": f"u{i}",
+                 "timestamp": NOON + timedelta(days=i % 3)} for i in range(90)
+            ]
+            arrive(events(*rows))
+            refresh_silver(spark, lake)
+            refresh_states(spark, lake)
+            for path in (lake.silver_path, *map(lake.states_path, schemas.GOLD)):
+                parts = tables.latest_commit(spark, path).parts
+                files = [len(list(Path(path, part).rglob("*.parquet"))) for part in parts]
+                assert files == [1, 1, 1], path
+    finally:
+        spark.conf.set(merged, "true")
+    same(spark, lake)

@@ -104,12 +104,17 @@ def _exists(spark: SparkSession, file: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def by_day(rows: DataFrame, *columns: str) -> DataFrame:
+    """The same rows, those of a day (and of equal further columns) in few tasks, so that a
+    day is a few files; adaptive execution deals a large day to several."""
+    return rows.hint("rebalance", DAY, *columns)
+
+
 def _write_days(silver: DataFrame, lake: Lake) -> tuple[str, dict[str, int]]:
     """Write rows by day and type; the new folder, and the rows of each day."""
     spark = silver.sparkSession
-    # A day's rows meet in a few tasks, so that a day is a few files.
     dated = silver.withColumn(DAY, F.to_date("timestamp").cast("string"))
-    part, _ = write_part(dated, lake.silver_path, [DAY, "event_type"])
+    part, _ = write_part(by_day(dated, "event_type"), lake.silver_path, [DAY, "event_type"])
     stored = spark.read.schema(f"event_id string, {DAY} string")
     try:
         counts = stored.parquet(f"{lake.silver_path}/{part}").groupBy(DAY).count().collect()

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators import hashtags, hours, users
-from tidemark.plans.incremental import DAY
+from tidemark.plans.incremental import DAY, by_day
 from tidemark.plans.layout import Lake
 from tidemark.rules import DEFAULT_RULES, EngagementRules
 from tidemark.sources.scratch import delete_path
@@ -76,7 +76,7 @@ def _refresh(
     if changed:
         chosen = Commit(silver.number, tuple(now[day] for day in changed))
         rows = read_parts(spark, lake.silver_path, chosen, lake.fmt, _SILVER_BY_DAY)
-        part, _ = write_part(make(rows), path, [DAY])
+        part, _ = write_part(by_day(make(rows)), path, [DAY])
         written.append(part)
         try:
             # A day may have no state: of its events none may be a post with a tag.
