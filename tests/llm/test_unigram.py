@@ -82,3 +82,27 @@ def test_digest(documents, odd_rows, vocabulary, unigram):
 
 def test_empty(documents, vocabulary):
     assert encoding_digest(documents([]), vocabulary(NAME)).count() == 0
+
+
+def test_known_words_are_not_cut_again(vocabulary, unigram):
+    class Counting(Unigram):
+        cut = 0
+
+        def _word(self, word):
+            self.cut += 1
+            return super()._word(word)
+
+    text = "every word, again. " * 50
+    counting = Counting(Vocabulary.read(vocabulary(NAME)))
+    assert counting.encode(text) == brute(unigram, text)
+    # The three words, and the lone space at the end; the first is also known behind a text.
+    assert counting.cut <= 5
+
+
+def test_every_token_is_decoded_by_its_piece(unigram):
+    pieces, byte_of = unigram.vocabulary.pieces, unigram.byte_of
+    assert unigram.decode([]) == ""
+    for i, piece in enumerate(pieces):
+        data = bytes([byte_of[i]]) if i in byte_of else piece.encode()
+        text = data.decode("utf-8", "replace").replace(MARKER, " ")
+        assert unigram.decode([i]) == text.removeprefix(" ")

@@ -16,9 +16,10 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -131,6 +132,17 @@ class Vocabulary:
         )
 
 
+class _Known(dict):
+    """word -> packed ids; words that are not kept are made on request."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        return self.make(word)
+
+
 class Unigram:
     """Encoding and decoding with one vocabulary."""
 
@@ -140,12 +152,19 @@ class Unigram:
         self.unknown_score = min(self.scores[i] for i in vocabulary.normal) - UNKNOWN_PENALTY
         normal = sorted((vocabulary.pieces[i].encode(), i) for i in vocabulary.normal)
         self.trie = DoubleArray(normal)
+        # Lists give their numbers faster than arrays, which make them anew.
+        trie = self.trie
+        self.base, self.check, self.value = list(trie.base), list(trie.check), list(trie.value)
         self.byte_of = {i: byte for byte, i in enumerate(vocabulary.byte_ids)}
+        self.bytes_of = [
+            bytes([self.byte_of[i]]) if i in self.byte_of else piece.encode()
+            for i, piece in enumerate(vocabulary.pieces)
+        ]
         self.has_bytes = vocabulary.unknown not in vocabulary.byte_ids
         self.words = self._cut(vocabulary)
         normal_pieces = [vocabulary.pieces[i] for i in vocabulary.normal]
         self.neighbours = {pair for piece in normal_pieces for pair in zip(piece, piece[1:])}
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._word)
 
     @staticmethod
     def _cut(vocabulary: Vocabulary) -> re.Pattern | None:
@@ -166,7 +185,7 @@ class Unigram:
         came: list[tuple[int, int]] = [(-1, -1)] * (size + 1)
         best[0] = 0.0
         scores, unknown = self.scores, self.vocabulary.unknown
-        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        base, check, value = self.base, self.check, self.value
         start = 0
         while start < size:
             byte = data[start]
@@ -208,18 +227,17 @@ class Unigram:
         words = self.words.findall(marked) if self.words else [marked]
         if len(self.known) > _KEPT_WORDS:
             self.known.clear()
-        return b"".join(map(self._word, words))
+        return b"".join(map(self.known.__getitem__, words))
 
     def _word(self, word: str) -> bytes:
         """Parts between which no piece can stand are searched, and known, by themselves."""
-        found = self.known.get(word)
-        if found is None:
-            joined = self.neighbours
-            cuts = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in joined]
-            parts = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
-            found = b"".join(map(self._part, parts))
-            if len(parts) > 1:
-                self._keep(word, found)
+        joined = self.neighbours
+        cuts = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in joined]
+        if not cuts:
+            return self._part(word)
+        parts = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+        found = b"".join(map(self._part, parts))
+        self._keep(word, found)
         return found
 
     def _part(self, part: str) -> bytes:
@@ -238,10 +256,7 @@ class Unigram:
 
     def decode(self, ids: Sequence[int]) -> str:
         """Pieces joined, bytes read as UTF-8, markers as spaces, without the first."""
-        pieces, byte_of = self.vocabulary.pieces, self.byte_of
-        data = b"".join(
-            bytes([byte_of[i]]) if i in byte_of else pieces[i].encode() for i in ids
-        )
+        data = b"".join(map(self.bytes_of.__getitem__, ids))
         text = data.decode("utf-8", "replace").replace(MARKER, " ")
         return text[1:] if text.startswith(" ") else text
 
@@ -305,9 +320,9 @@ def encoding_digest(
         def row(doc_id: int | None, data: bytes) -> tuple:
             text = data.decode("utf-8", "replace")
             packed = unigram.packed(text)
-            ids = array("I", packed)
-            back = unigram.decode(ids)
-            n_bytes = sum(1 for i in ids if low <= i <= high) if unigram.has_bytes else 0
+            ids = np.frombuffer(packed, np.uint32)
+            back = unigram.decode(ids.tolist())
+            n_bytes = int(((ids >= low) & (ids <= high)).sum()) if unigram.has_bytes else 0
             same = back == text
             return (
                 doc_id, len(ids), n_bytes, zlib.crc32(packed),
