@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.conftest import prose
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import lookup
+from tidemark.llm import lookup, word_bpe
 from tidemark.llm.best_fit import ROW, _ranked, pack_documents, plan_groups, token_pieces
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.word_bpe import WordBpe, chunks_of, read_definition
@@ -118,6 +119,33 @@ def test_parts_before_marks(vocabulary, library, text):
     assert [i for p in pieces for i in bpe.ids(p)] == ids(library, text)
 
 
+@pytest.mark.parametrize("operator", [token_pieces, count_tokens])
+def test_tasks_of_a_process_share_a_vocabulary(spark, documents, vocabulary, monkeypatch, operator):
+    """A worker that runs many small tasks makes the vocabulary once, not once a task."""
+    tasks, made = [], []
+
+    def taken(self, function, *_):
+        tasks.append(function)
+        return spark.createDataFrame([], "key string, times bigint, n_tokens bigint, row_id long, doc_id long, rare array<struct<key:string,times:bigint>>, n_bytes long")
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", taken)
+    real = word_bpe.Tokenizer
+
+    class Counted:
+        @staticmethod
+        def from_str(definition):
+            made.append(1)
+            return real.from_str(definition)
+
+    monkeypatch.setattr(word_bpe, "Tokenizer", Counted)
+    monkeypatch.setattr(word_bpe, "_loaded", {}, raising=False)
+    operator(documents([]), vocabulary(NAME))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words, here", None]})
+    for _ in range(5):
+        assert sum(found.num_rows for found in tasks[0]([batch])) >= 2
+    assert len(made) == 1
+
+
 def test_rows_of_one_id_and_text_are_spread(documents, vocabulary):
     """A third of the rows are copies without an id: they are numbered in many slices."""
     rows = [(None, "the same text stands here for all of them to see")] * 600 + [(i, f"text {i}") for i in range(1200)]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import documents_of, id_and_text, in_batches
 from tidemark.llm.kept import Kept
-from tidemark.llm.word_bpe import WordBpe, chunks_of, read_definition
+from tidemark.llm.word_bpe import WordBpe, chunks_of, loaded, read_definition
 from tidemark.sources.scratch import materialize
 
 CAPACITY = 4096
@@ -187,7 +187,7 @@ def token_pieces(
     definition = docs.sparkSession.sparkContext.broadcast(read_definition(definition_path))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _Ids(WordBpe(definition.value), most_kept)
+        ids_of = _Ids(loaded(definition.value), most_kept)
         end = array("I", [END_ID]).tobytes()
 
         def pieces(ids: list, texts: list[bytes]) -> Iterator[tuple]:

@@ -24,7 +24,7 @@ from tidemark.llm.lookup import (
     rare_list,
     row_numbers,
 )
-from tidemark.llm.word_bpe import WordBpe, chunks_of, read_definition
+from tidemark.llm.word_bpe import chunks_of, loaded, read_definition
 from tidemark.sources.scratch import materialize
 
 _KEPT_CHUNKS = 200_000
@@ -60,7 +60,7 @@ def count_tokens(
     def pretokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Parts of texts are counted over all documents that a task holds at once, and
         each is cut into pre-tokens when the counts are handed on."""
-        bpe, held = WordBpe(definition.value), Counter()
+        bpe, held = loaded(definition.value), Counter()
 
         def cut_up() -> Iterator[tuple[str, int]]:
             # What is cut up is forgotten at once, so that a task never holds both.
@@ -79,7 +79,7 @@ def count_tokens(
         yield from in_batches(_TIMES, cut_up())
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(definition.value)
+        bpe = loaded(definition.value)
         for batch in batches:
             sizes = [len(bpe.ids(piece)) for piece in batch.column("key").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -97,7 +97,7 @@ def count_tokens(
     )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, sizes, numbers = WordBpe(definition.value), frequent.value, row_numbers()
+        bpe, sizes, numbers = loaded(definition.value), frequent.value, row_numbers()
         # Parts with rare pre-tokens, by the number that stands for them below zero.
         unusual: list[tuple[int, list[str]]] = []
 

@@ -90,6 +90,19 @@ class WordBpe:
         return [token.id for token in self.model.tokenize(piece)]
 
 
+# One vocabulary per process; the next one takes its place.
+_loaded: dict[str, WordBpe] = {}
+
+
+def loaded(definition: str) -> WordBpe:
+    """The vocabulary of this definition, made once in a process: workers outlive tasks, and
+    making it takes longer than cutting a small task's texts and leaves memory in pieces."""
+    if definition not in _loaded:
+        _loaded.clear()
+        _loaded[definition] = WordBpe(definition)
+    return _loaded[definition]
+
+
 def read_definition(path: str) -> str:
     """Read on the driver; tasks get the content, not the path."""
     with open(path, encoding="utf-8") as file:
